@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only if it was counted and has at most so many rows; beyond that the join shuffles.
@@ -45,6 +45,14 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with further columns that are worked out once a row, however many later filters and columns use them.
+
+    A filter over an alias is otherwise pushed below the projection, which repeats costly expressions there.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
 @contextmanager
 def settings(spark: SparkSession, **conf: str):
     """Session settings for the time of one action; dots are written as two underscores."""
