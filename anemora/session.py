@@ -40,6 +40,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, what: str = "table") -> DataFrame:
+    """The rows of df as a table in the shared folder: columnar, without lineage, read as often as needed."""
+    at = scratch(df.sparkSession, what)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most limit rows, else as it is."""
     return F.broadcast(df) if rows <= limit else df
