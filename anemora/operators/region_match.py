@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anemora.session import BROADCAST_ROWS, cut, small
@@ -45,30 +45,52 @@ def _classify(pairs: DataFrame, size: float, max_dist: float) -> DataFrame:
     pairs: region, kind, idx0, idx1, lat, lon, ci, cj; every grid point that can be nearest in the cell must be there.
     """
     h = size / 2
-    dlat = F.abs(F.col("lat") - ((F.col("ci") + 0.5) * size - 90.0))
-    dlon = lon_gap(F.col("lon"), (F.col("cj") + 0.5) * size - 180.0)
     rotated = F.col("kind") == "rotated_pole"
     r = F.when(rotated, h * 2**0.5).otherwise(h)
-    far = F.when(rotated, F.sqrt(dlat * dlat + dlon * dlon)).otherwise(F.greatest(dlat, dlon))
-    point = F.struct("idx0", "idx1", "lat", "lon", dlat.alias("a"), dlon.alias("b"), far.alias("d"))
+
+    def gaps(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+        a = F.abs(lat - ((F.col("ci") + 0.5) * size - 90.0))
+        b = lon_gap(lon, (F.col("cj") + 0.5) * size - 180.0)
+        return a, b, F.when(rotated, F.sqrt(a * a + b * b)).otherwise(F.greatest(a, b))
+
+    dlat, dlon, far = gaps(F.col("lat"), F.col("lon"))
     cells = (
-        pairs.withColumn("r", r)
-        .filter(far <= max_dist + F.col("r") + EPS)
-        .groupBy("region", "kind", "ci", "cj", "r")
-        .agg(F.collect_list(point).alias("near"), F.min(dlat).alias("a"), F.min(dlon).alias("b"), F.min(far).alias("d"))
+        pairs.filter(far <= max_dist + r + EPS)
+        .groupBy("region", "kind", "ci", "cj")
+        .agg(F.collect_list(F.struct("idx0", "idx1", "lat", "lon")).alias("near"), F.min(dlat).alias("a"), F.min(dlon).alias("b"), F.min(far).alias("d"))
     )
+
     # of a regular grid the nearest latitude and the nearest longitude are sought apart, of a rotated one the nearest point
-    keep = F.filter(
-        "near",
-        lambda p: F.when(F.col("kind") == "rotated_pole", p["d"] < F.col("d") + 2 * F.col("r") - EPS).otherwise(
-            (p["a"] < F.col("a") + 2 * h - EPS) & (p["b"] < F.col("b") + 2 * h - EPS)
-        ),
-    )
-    return cells.withColumn("near", keep).withColumn(
-        "interior", (F.size("near") == 1) & (F.element_at("near", 1)["d"] + F.col("r") <= max_dist + EPS)
+    def keep(p: Column) -> Column:
+        a, b, d = gaps(p["lat"], p["lon"])
+        return F.when(rotated, d < F.col("d") + 2 * r - EPS).otherwise((a < F.col("a") + 2 * h - EPS) & (b < F.col("b") + 2 * h - EPS))
+
+    one = F.element_at("near", 1)
+    return cells.withColumn("near", F.filter("near", keep)).select(
+        "region", "kind", "ci", "cj", "near", ((F.size("near") == 1) & (gaps(one["lat"], one["lon"])[2] + r <= max_dist + EPS)).alias("interior")
     )
 
 
+def _reach(points: DataFrame, max_dist: float) -> DataFrame:
+    """points with how far in latitude (reach0) and longitude (reach1) a place can be that has the point as its nearest.
+
+    Half the gap to the next latitude and longitude of a regular grid; the gap to the four neighbours of a rotated one,
+    whose nearest places all lie within it; max_dist at a border, and never more.
+    """
+    gap = lambda other: F.sqrt(F.pow(F.col("lat") - other["lat"], 2) + F.pow(lon_gap(F.col("lon"), other["lon"]), 2))
+    here = F.struct("lat", "lon")
+    rows = Window.partitionBy("region", "idx1")
+    cols = Window.partitionBy("region", "idx0")
+    rotated = F.col("kind") == "rotated_pole"
+    along = {}
+    for n, (part, axis, index) in enumerate(((rows, "lat", "idx0"), (cols, "lon", "idx1"))):
+        order = part.orderBy(F.when(rotated, F.col(index)).otherwise(F.col(axis)), index)
+        along[f"gap{n}"] = F.greatest(*[F.coalesce(gap(f(here).over(order)), F.lit(2 * max_dist)) for f in (F.lag, F.lead)])
+    out = points.withColumns(along)
+    both = F.greatest("gap0", "gap1")
+    return out.select(*points.columns, *[F.least(F.when(rotated, both).otherwise(F.col(f"gap{n}") / 2) + EPS, F.lit(max_dist)).alias(f"reach{n}") for n in (0, 1)])
+
+
 def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...] = CELL_SIZES) -> DataFrame:
     """The cells of every region's reach: level, ci, cj, region, kind, interior, near (candidates, one if interior)."""
     points = (
@@ -78,11 +100,13 @@ def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...]
         .distinct()
     )
     s0 = sizes[0]
-    span = lambda x, low: F.sequence(*[F.floor((x + low + d) / s0).cast("int") for d in (-max_dist, max_dist)])
+    span = lambda x, low, reach: F.sequence(*[F.floor((F.col(x) + low + d * F.col(reach)) / s0).cast("int") for d in (-1, 1)])
     pairs = (
-        points.withColumn("ci", F.explode(span(F.col("lat"), 90.0)))
-        .withColumn("cj", F.explode(span(F.col("lon"), 180.0)))
+        _reach(points, max_dist)
+        .withColumn("ci", F.explode(span("lat", 90.0, "reach0")))
+        .withColumn("cj", F.explode(span("lon", 180.0, "reach1")))
         .withColumn("cj", F.pmod("cj", F.lit(round(360 / s0))))
+        .drop("reach0", "reach1")
     )
     out = []
     for level, size in enumerate(sizes):
