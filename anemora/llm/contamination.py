@@ -93,7 +93,12 @@ class Index:
             self.template[n] = NUMBER if w.isdigit() else NAME if w in names else UNIT if w in UNITS else n
         self.items = {i: np.array([self.number[folded(w)] for w in ws], dtype=np.int32) for (i, _), ws in zip(items, words)}
         self.windows = [(int(h), int(i), p) for i, ws in self.items.items() for p, h in enumerate(window_hashes(self.templates(ws)))]
-        self.hashes = np.unique(np.array([h for h, _, _ in self.windows], dtype=np.int64))
+        rows = np.array(sorted(self.windows), dtype=np.int64).reshape(-1, 3)
+        self.hashes, self.first = np.unique(rows[:, 0], return_index=True)
+        self.count = np.diff(np.append(self.first, len(rows)))
+        self.ids = np.array(sorted(self.items), dtype=np.int64)
+        self.row_item, self.row_pos = np.searchsorted(self.ids, rows[:, 1]), rows[:, 2]
+        self.least = np.array([least_windows(len(self.items[i])) for i in self.ids.tolist()], dtype=np.int64)
 
     def templates(self, ids):
         import numpy as np
@@ -111,8 +116,31 @@ def least_windows(n: int) -> int:
     return max(1, min(m - m // EDITS - (K - 1) * (m // EDITS + 1) for m in range(-(-n // 2), max(n, 1) + 1)))
 
 
-def coded_batches(index: Index):
-    """A function over Arrow batches (id, text) that gives (id, ids, pos, h): word numbers, and the windows that items have too."""
+def _enough(index: Index, doc, h):
+    """Of windows h of documents doc: which belong to a pair with enough different common windows, and those pairs.
+
+    A count before anything is shuffled: almost all pairs of a document and an item share a stock phrase or two.
+    """
+    import numpy as np
+
+    at = np.searchsorted(index.hashes, h)
+    n = index.count[at]
+    window = np.repeat(np.arange(len(h)), n)
+    row = np.repeat(index.first[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(window)) if len(h) else np.zeros(0, np.int64)
+    pair = doc[window] * np.int64(len(index.ids)) + index.row_item[row]
+    wide = int(index.row_pos.max(initial=0)) + 1
+    pairs, common = np.unique(np.unique(pair * wide + index.row_pos[row]) // wide, return_counts=True)
+    pairs = pairs[common >= index.least[pairs % len(index.ids)]] if len(pairs) else pairs
+    keep = np.zeros(len(h), dtype=bool)
+    keep[window[np.isin(pair, pairs)]] = True
+    return keep, pairs // max(1, len(index.ids)), index.ids[pairs % max(1, len(index.ids))]
+
+
+def coded_batches(index: Index, rows: int = 1000):
+    """A function over Arrow batches (id, text) that gives (id, ids, items, pos, h) of documents that may quote an item.
+
+    ids: word numbers of the whole text; items that may be quoted; windows shared with any of them, by place and hash.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -120,7 +148,7 @@ def coded_batches(index: Index):
         import pyarrow.compute as pc
 
         known: dict[str, int] = {}
-        for batch in batches:
+        for batch in (b.slice(at, rows) for b in batches for at in range(0, len(b), rows)):
             words = plain_words(pc.fill_null(batch.column(1), "").cast(pa.large_string()))
             flat = words.flatten().dictionary_encode()
             if len(known) > 1_000_000:
@@ -137,9 +165,15 @@ def coded_batches(index: Index):
             doc = np.searchsorted(ends, hit, side="right") - 1
             inside = hit + K <= ends[doc + 1]
             hit, doc = hit[inside], doc[inside]
-            per = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(batch)))])
-            lists = lambda at, values: pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists(ends, ids), lists(per, (hit - ends[doc]).astype(np.int32)), lists(per, h[hit])], names=["id", "ids", "pos", "h"])
+            keep, of, items = _enough(index, doc, h[hit])
+            hit, doc = hit[keep], doc[keep]
+
+            def lists(owner, values, n=len(batch)):
+                return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]), pa.int32()), pa.array(values))
+
+            whole = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+            out = pa.RecordBatch.from_arrays([batch.column(0), whole, lists(of, items), lists(doc, (hit - ends[doc]).astype(np.int32)), lists(doc, h[hit])], names=["id", "ids", "items", "pos", "h"])
+            yield out.filter(pa.array(np.bincount(of, minlength=len(batch)) > 0))
 
     return run
 
@@ -224,17 +258,11 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col:
     index = Index([(r[0], r[1]) for r in rows])
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
-    coded = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(coded_batches(index), f"id {kind}, ids array<int>, pos array<int>, h array<bigint>"), "coded")
+    schema = f"id {kind}, ids array<int>, items array<bigint>, pos array<int>, h array<bigint>"
+    coded = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(coded_batches(index), schema), "coded")
     windows = spark.createDataFrame(index.windows or [(0, -1, 0)], "h bigint, item_id bigint, ipos int")
-    least = spark.createDataFrame([(int(i), least_windows(len(x))) for i, x in index.items.items()] or [(-1, 1)], "item_id bigint, least int")
-    hits = coded.select("id", F.inline(F.arrays_zip("pos", "h"))).join(F.broadcast(windows), "h")
-    places = (
-        hits.groupBy("id", "item_id")
-        .agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.collect_list(F.struct("pos", "ipos")).alias("at"))
-        .join(F.broadcast(least), "item_id")
-        .filter(F.size("at") >= F.col("least"))
-        .filter(F.size(F.array_distinct("at.ipos")) >= F.col("least"))
-    )
+    hits = coded.select("id", "items", F.inline(F.arrays_zip("pos", "h"))).join(F.broadcast(windows), "h").filter(F.array_contains("items", F.col("item_id")))
+    places = hits.groupBy("id", "item_id").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.collect_list(F.struct("pos", "ipos")).alias("at"))
     whole = places.select("id", "item_id", "lo", "hi", F.col("at.pos").alias("dpos"), F.col("at.ipos").alias("ipos")).join(coded.select("id", "ids"), "id")
     return whole.mapInPandas(verified_batches(index), f"id {kind}, item_id bigint, n int, matched int, edits int, refilled int, consistent boolean").withColumnRenamed("id", id_col)
 
