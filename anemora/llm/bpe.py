@@ -145,7 +145,7 @@ def marked(texts):
     return pc.replace_with_mask(out, odd, pc.replace_substring_regex(texts.filter(odd), f"([{SPACE}]*[^{SPACE}]+)", "\\1\0"))
 
 
-def encode_batches(path: str):
+def encode_batches(path: str, rows: int = 2500):
     """A function over Arrow batches (id, text) that gives (id, ids)."""
 
     def run(batches: Iterator) -> Iterator:
@@ -155,7 +155,7 @@ def encode_batches(path: str):
 
         bpe = encoder(path)
         kept: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in (b.slice(at, rows) for b in batches for at in range(0, len(b), rows)):
             texts = pc.fill_null(batch.column(1), "").cast(pa.large_string())
             if pc.any(pc.match_substring(texts, "\0")).as_py():
                 ids = pa.array([bpe.encode(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
