@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from anemora.queries import problems
+from anemora.queries import places, problems, weather
 
-MODULES = [problems]
+MODULES = [problems, weather, places]
 
 
 def queries() -> dict:
