@@ -9,16 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Days of a station that one window covers; a station with most of the rows is spread over its chunks.
+CHUNK_DAYS = 32
+
+
+def previous_time(df: DataFrame, station: str = "station") -> DataFrame:
+    """df with before, the station's time before a row's; null for its first.
+
+    Within chunks by a window, across them by the chunks' last times, of which there are few.
+    """
+    chunk = F.floor(F.datediff(F.to_date("t"), F.lit("1970-01-01").cast("date")) / CHUNK_DAYS)
+    rows = df.withColumn("chunk", chunk)
+    inner = rows.withColumn("before", F.lag("t").over(Window.partitionBy(station, "chunk").orderBy("t")))
+    ends = rows.groupBy(station, "chunk").agg(F.max("t").alias("end"))
+    ends = ends.withColumn("end_before", F.lag("end").over(Window.partitionBy(station).orderBy("chunk"))).drop("end")
+    return inner.join(ends, [station, "chunk"], "left").withColumn("before", F.coalesce("before", "end_before")).drop("chunk", "end_before")
+
+
 def step_hours(df: DataFrame, station: str = "station") -> DataFrame:
     """(station, step_hours): median distance of successive times."""
-    gap = F.timestamp_diff("SECOND", F.lag("t").over(Window.partitionBy(station).orderBy("t")), F.col("t")) / 3600.0
-    return df.withColumn("gap", gap).groupBy(station).agg(F.median("gap").alias("step_hours"))
+    gap = F.timestamp_diff("SECOND", F.col("before"), F.col("t")) / 3600.0
+    return previous_time(df, station).withColumn("gap", gap).groupBy(station).agg(F.median("gap").alias("step_hours"))
 
 
 def gaps(df: DataFrame, station: str = "station", hours: float = 1.0) -> DataFrame:
     """Rows that do not follow the row before at the given step: station, t, gap_hours."""
-    gap = F.timestamp_diff("SECOND", F.lag("t").over(Window.partitionBy(station).orderBy("t")), F.col("t")) / 3600.0
-    return df.withColumn("gap_hours", gap).filter(F.col("gap_hours") != hours).select(station, "t", "gap_hours")
+    gap = F.timestamp_diff("SECOND", F.col("before"), F.col("t")) / 3600.0
+    return previous_time(df, station).withColumn("gap_hours", gap).filter(F.col("gap_hours") != hours).select(station, "t", "gap_hours")
 
 
 def hourly_axis(df: DataFrame, station: str = "station") -> DataFrame:

@@ -95,14 +95,14 @@ def gather_nearest(spark, d):
     return gridmatch.gather(match, cube(spark, d)).withColumn("v", F.round("v", 6))
 
 
-@query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(sum(weight * v) / nullif(sum(case when v is not null then weight end), 0), 6) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
+@query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(sum(weight * v) / nullif(sum(case when v is not null then weight end), 0) + 3e-11, 9) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
 def gather_weighted(spark, d):
-    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), cube(spark, d)).withColumn("v", F.round("v", 6))
+    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), cube(spark, d)).withColumn("v", F.round(F.col("v") + TIE, 9))
 
 
-@query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(case when count(v) = count(*) then sum(weight * v) end, 6) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
+@query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(case when count(v) = count(*) then sum(weight * v) end + 3e-11, 9) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
 def gather_weighted_strict(spark, d):
-    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), cube(spark, d), how="strict").withColumn("v", F.round("v", 6))
+    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), cube(spark, d), how="strict").withColumn("v", F.round(F.col("v") + TIE, 9))
 
 
 
