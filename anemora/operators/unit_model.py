@@ -6,7 +6,7 @@ source, variable, step and neighbouring fields, trained on rows with a stated un
 Confident assignments are converted; the others are routed to review.
 
 Nulls, NaN and infinite readings have no value and no result row in `converted`. A row sent twice counts once (latest
-received_at). Empty tables give empty results; with fewer than two labelled classes of a variable nothing is predicted
+received_at). Empty tables give empty results; with too few labelled rows of a variable to train and to calibrate nothing is predicted
 and its rows go to review. Extra columns are ignored.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anemora.functions import unit_text as U
-from anemora.session import once, written
+from anemora.session import once, scratch, written
 
 #: Labelled rows that the classifier is fitted on, at most; those with the smallest hash of row_id are taken.
 TRAIN_ROWS = 50_000
@@ -98,20 +98,25 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = 20, depth: i
         own = labelled.filter(F.col("var_name") == var)
         label = F.concat_ws("|", F.format_string("%.6g", "factor"), "code")
         sample = _features(own.select("row_id", "source", "region", "t", "step_hours", "value", label.alias("label")).orderBy(F.xxhash64("row_id")).limit(train_rows)).cache()
-        if sample.select("label").distinct().limit(2).count() < 2:
+        held = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(1000)) < int(1000 * CALIBRATION_SHARE)
+        # labels are unit codes, of which there are a few dozen at most
+        labels = {r["held"]: set(r["labels"]) for r in sample.groupBy(held.alias("held")).agg(F.collect_set("label").alias("labels")).collect()}
+        if len(labels.get(False, ())) < 2 or not labels[False] & labels.get(True, set()):
             sample.unpersist()
             continue
-        held = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(1000)) < int(1000 * CALIBRATION_SHARE)
         stages = [
             StringIndexer(inputCol="label", outputCol="y", handleInvalid="skip"),
             StringIndexer(inputCols=["source", "region"], outputCols=["source_ix", "region_ix"], handleInvalid="keep"),
             VectorAssembler(inputCols=FEATURES, outputCol="x"),
             RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, maxDepth=depth, seed=seed, maxBins=64),
         ]
-        forest = Pipeline(stages=stages).fit(sample.filter(~held))
-        checked = forest.transform(sample.filter(held)).select(F.array_max(vector_to_array("probability")).alias("score"), (F.col("prediction") == F.col("y")).cast("double").alias("right"))
-        model.forest[var] = PipelineModel([s for s in forest.stages if not (hasattr(s, "getOutputCol") and s.isSet("outputCol") and s.getOutputCol() == "y")])
-        model.labels[var] = forest.stages[0].labels
+        fitted = Pipeline(stages=stages).fit(sample.filter(~held)).stages
+        # read back from the shared folder: a fitted forest also carries its training summary, which holds the session and cannot go to tasks
+        fitted[-1].save(at := scratch(rows.sparkSession, "forest"))
+        forest = PipelineModel([*fitted[1:-1], RandomForestClassificationModel.load(at)])
+        checked = forest.transform(fitted[0].transform(sample.filter(held))).select(F.array_max(vector_to_array("probability")).alias("score"), (F.col("prediction") == F.col("y")).cast("double").alias("right"))
+        model.forest[var] = forest
+        model.labels[var] = fitted[0].labels
         model.calibration[var] = IsotonicRegression(featuresCol="score", labelCol="right").fit(checked)
         sample.unpersist()
     return model
