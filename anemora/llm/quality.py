@@ -76,7 +76,7 @@ def statistics(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
         "n_words": F.coalesce(count, F.lit(0)),
         "mean_word_length": F.length(F.regexp_replace("b", r"\s", "")) / words_n,
         "symbol_ratio": F.regexp_count("b", F.lit(r"#|\.\.\.|…")) / words_n,
-        "alpha_words": F.regexp_count("b", F.lit(r"\S*\p{L}\S*")) / words_n,
+        "alpha_words": 1 - F.regexp_count("b", F.lit(r"(?<!\S)[^\s\p{L}]++(?!\S)")) / words_n,
         "punctuated_lines": share(r"(?m)[.!?:;][\"')}\]]{0,3}[ \t]*$"),
         "bullet_lines": share(r"(?m)^[ \t]*(?:\\item|\\bibitem|\\bullet|[-*•·] ).*$"),
         "ellipsis_lines": share(r"(?m)(?:\.\.\.|…|\\l?dots)[ \t]*$"),
