@@ -16,11 +16,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anemora.session import BROADCAST_ROWS, cut, small
+from anemora.session import cut, small
 
 #: Cell sizes in degrees, coarse to fine; each divides the one before it and 360.
 CELL_SIZES = (0.1, 0.05)
 MAX_DIST = 0.2
+#: Cells of a cover that are broadcast, at most; a cell takes some 300 bytes.
+COVER_ROWS = 300_000
 EPS = 1e-9
 
 
@@ -91,8 +93,11 @@ def _reach(points: DataFrame, max_dist: float) -> DataFrame:
     return out.select(*points.columns, *[F.least(F.when(rotated, both).otherwise(F.col(f"gap{n}") / 2) + EPS, F.lit(max_dist)).alias(f"reach{n}") for n in (0, 1)])
 
 
-def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...] = CELL_SIZES) -> DataFrame:
-    """The cells of every region's reach: level, ci, cj, region, kind, interior, near (candidates, one if interior)."""
+def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...] = CELL_SIZES, occupied: DataFrame | None = None) -> DataFrame:
+    """The cells of every region's reach: level, ci, cj, region, kind, interior, near (candidates, one if interior).
+
+    Only in the coarsest cells (ci, cj) of `occupied`, if given.
+    """
     points = (
         grid.select("region", F.col("grid_kind").alias("kind"), "idx0", "idx1", "lat", F.col("lon").cast("double"))
         .filter(F.col("region").isNotNull() & F.col("idx0").isNotNull() & F.col("idx1").isNotNull() & usable(F.col("lat"), F.col("lon")))
@@ -108,6 +113,8 @@ def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...]
         .withColumn("cj", F.pmod("cj", F.lit(round(360 / s0))))
         .drop("reach0", "reach1")
     )
+    if occupied is not None:
+        pairs = pairs.join(occupied, ["ci", "cj"], "left_semi")
     out = []
     for level, size in enumerate(sizes):
         cells = cut(_classify(pairs, size, max_dist).withColumn("level", F.lit(level)))
@@ -131,29 +138,22 @@ def nearest_in_regions(
     id_col: str = "match_id",
     max_dist: float = MAX_DIST,
     sizes: tuple[float, ...] = CELL_SIZES,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = COVER_ROWS,
 ) -> DataFrame:
     """(id, region, idx0, idx1, dist_deg, interior): the nearest grid point of every region within max_dist of a place.
 
-    The cover grows with the grid, never with the places; it is counted and broadcast only up to broadcast_rows.
-    Beyond that the join shuffles, with every crowded cell spread over as many parts as its salt has values.
+    The cover is made where there are places, and grows with the grid, never with the places. It is counted and broadcast
+    only up to broadcast_rows; beyond that the join shuffles, and the engine splits a crowded cell's skewed partition.
     """
-    cells = cut(cover(grid, max_dist, sizes))
-    at = (
-        places.select(F.col(id_col).alias("id"), F.col("lat").cast("double").alias("plat"), F.col("lon").cast("double").alias("plon"))
-        .filter(usable(F.col("plat"), F.col("plon")) & F.col("id").isNotNull())
-        .groupBy("id")
-        .agg(F.min(F.struct("plat", "plon")).alias("at"))
-        .select("id", F.col("at.plat").alias("plat"), F.col("at.plon").alias("plon"))
-    )
+    rows = places.select(F.col(id_col).alias("id"), F.col("lat").cast("double").alias("plat"), F.col("lon").cast("double").alias("plon"))
+    rows = rows.filter(usable(F.col("plat"), F.col("plon")) & F.col("id").isNotNull())
+    at = rows.groupBy("id").agg(F.min(F.struct("plat", "plon")).alias("at")).select("id", F.col("at.plat").alias("plat"), F.col("at.plon").alias("plon"))
+    ci, cj = _cell_ids(sizes[0], F.col("plat"), F.col("plon"))
+    occupied = rows.select(ci.alias("ci"), cj.alias("cj")).distinct()
+    cells = cut(cover(grid, max_dist, sizes, occupied))
     keys = F.array(*[F.struct(F.lit(n).alias("level"), *[c.alias(a) for c, a in zip(_cell_ids(s, F.col("plat"), F.col("plon")), ("ci", "cj"))]) for n, s in enumerate(sizes)])
     at = at.withColumn("key", F.explode(keys)).select("id", "plat", "plon", "key.level", "key.ci", "key.cj")
-    if (n := cells.count()) <= broadcast_rows:
-        joined = at.join(small(cells, n, broadcast_rows), ["level", "ci", "cj"])
-    else:
-        salts = 16
-        at = at.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-        joined = at.join(cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["level", "ci", "cj", "salt"])
+    joined = at.join(small(cells, cells.count(), broadcast_rows), ["level", "ci", "cj"])
 
     def measure(p: Column) -> Column:
         a, b = F.abs(p["lat"] - F.col("plat")), lon_gap(p["lon"], F.col("plon"))
