@@ -84,7 +84,7 @@ def statistics(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
         "list_share": (F.length("b") - F.length(F.regexp_replace("bare", LIST_LINE, ""))) / F.nullif(F.length("b"), F.lit(0)),
     }
     prose = F.regexp_count(F.lower("prose"), F.lit(word_pattern(listed))) * CHARS_PER_COMMON / F.nullif(n, F.lit(0)) if listed else F.lit(None).cast("double")
-    stats["prose_share"] = F.when(F.trim(F.regexp_replace("b", r"\s+", " ")) != "", prose)
+    stats["prose_share"] = F.when(F.col("b").rlike(r"[^\s\p{Z}\p{C}]"), prose)
     return rows.select(id_col, *[c.alias(k) for k, c in stats.items()])
 
 

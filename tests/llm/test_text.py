@@ -87,7 +87,7 @@ def test_quality(spark):
     table = "\n".join(f"{n} & {n}.5 & 3 \\\\" for n in range(80))
     junk = "\n".join("QWxsIHlvdXIgYmFzZSBhcmUgYmVsb25nIHRv" for _ in range(40))
     bibliography = "\\begin{thebibliography}{9}\n" + "\n".join(f"\\bibitem{{a{n}}} Name, A. The form of the layer in the region. J. X, {n}." for n in range(30)) + "\n\\end{thebibliography}"
-    texts = [None, "", "  \n ", prose, listing, table, junk, bibliography, prose * 6 + bibliography[:600], "\\usepackage{x}\n\\begin{document}\n" + prose, "x" * 200_000, "&" * 100_000]
+    texts = [None, "", "  \n ", prose, listing, table, junk, bibliography, prose * 6 + bibliography[:600], "\\usepackage{x}\n\\begin{document}\n" + prose, "x" * 200_000, "&" * 100_000, "\u00a0", "\u200b \u3000\n"]
     assert {r["doc_id"] for r in quality.not_prose(docs(spark, texts), words).collect()} == {4, 5, 6, 7, 10, 11}
     rows = {r["doc_id"]: r for r in quality.judged(quality.statistics(docs(spark, texts), words)).collect()}
     assert len(rows) == len(texts)
