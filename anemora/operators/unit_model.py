@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from anemora.functions import unit_text as U
 from anemora.session import once, scratch, written
 
-#: Labelled rows that the classifier is fitted on, at most; those with the smallest hash of row_id are taken.
+#: Labelled rows of each variable that the classifier is fitted on, about, and at most but for the chance in drawing them by a hash of row_id.
 TRAIN_ROWS = 50_000
 CALIBRATION_SHARE = 0.25
 CONFIDENT = 0.9
@@ -91,24 +91,27 @@ FEATURES = ["magnitude", "signed", "whole", "decimals", "step", "month", "hour",
 
 
 def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = 20, depth: int = 10, seed: int = 7) -> UnitModel:
-    """Forests and calibration from at most train_rows rows of each variable with a stated unit."""
+    """Forests and calibration from about train_rows rows of each variable with a stated unit."""
     model = UnitModel({}, {}, {})
     labelled = rows.filter(F.col("code").isNotNull() & F.col("value").isNotNull())
+    there = {r["var_name"]: r["count"] for r in labelled.groupBy("var_name").count().collect()}
     for var in VARS:
-        own = labelled.filter(F.col("var_name") == var)
+        drawn = F.pmod(F.xxhash64("row_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, train_rows / max(1, there.get(var, 0))))
+        own = labelled.filter((F.col("var_name") == var) & drawn)
         label = F.concat_ws("|", F.format_string("%.6g", "factor"), "code")
-        sample = _features(own.select("row_id", "source", "region", "t", "step_hours", "value", label.alias("label")).orderBy(F.xxhash64("row_id")).limit(train_rows)).cache()
+        sample = _features(own.select("row_id", "source", "region", "t", "step_hours", "value", label.alias("label"))).persist()
         held = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(1000)) < int(1000 * CALIBRATION_SHARE)
         # labels are unit codes, of which there are a few dozen at most
         labels = {r["held"]: set(r["labels"]) for r in sample.groupBy(held.alias("held")).agg(F.collect_set("label").alias("labels")).collect()}
         if len(labels.get(False, ())) < 2 or not labels[False] & labels.get(True, set()):
             sample.unpersist()
             continue
+        kinds = max(sample.agg(F.count_distinct("source"), F.count_distinct("region")).first())
         stages = [
             StringIndexer(inputCol="label", outputCol="y", handleInvalid="skip"),
             StringIndexer(inputCols=["source", "region"], outputCols=["source_ix", "region_ix"], handleInvalid="keep"),
             VectorAssembler(inputCols=FEATURES, outputCol="x"),
-            RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, maxDepth=depth, seed=seed, maxBins=64),
+            RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, maxDepth=depth, seed=seed, maxBins=max(64, kinds + 2)),
         ]
         fitted = Pipeline(stages=stages).fit(sample.filter(~held)).stages
         # read back from the shared folder: a fitted forest also carries its training summary, which holds the session and cannot go to tasks
