@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anemora.session import cut, small
+from anemora.session import small, written
 
 #: Cell sizes in degrees, coarse to fine; each divides the one before it and 360.
 CELL_SIZES = (0.1, 0.05)
@@ -117,7 +117,7 @@ def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...]
         pairs = pairs.join(occupied, ["ci", "cj"], "left_semi")
     out = []
     for level, size in enumerate(sizes):
-        cells = cut(_classify(pairs, size, max_dist).withColumn("level", F.lit(level)))
+        cells = written(_classify(pairs, size, max_dist).withColumn("level", F.lit(level)), "cover")
         last = level == len(sizes) - 1
         out.append(cells if last else cells.filter("interior"))
         if not last:
@@ -150,7 +150,7 @@ def nearest_in_regions(
     at = rows.groupBy("id").agg(F.min(F.struct("plat", "plon")).alias("at")).select("id", F.col("at.plat").alias("plat"), F.col("at.plon").alias("plon"))
     ci, cj = _cell_ids(sizes[0], F.col("plat"), F.col("plon"))
     occupied = rows.select(ci.alias("ci"), cj.alias("cj")).distinct()
-    cells = cut(cover(grid, max_dist, sizes, occupied))
+    cells = cover(grid, max_dist, sizes, occupied)
     keys = F.array(*[F.struct(F.lit(n).alias("level"), *[c.alias(a) for c, a in zip(_cell_ids(s, F.col("plat"), F.col("plon")), ("ci", "cj"))]) for n, s in enumerate(sizes)])
     at = at.withColumn("key", F.explode(keys)).select("id", "plat", "plon", "key.level", "key.ci", "key.cj")
     joined = at.join(small(cells, cells.count(), broadcast_rows), ["level", "ci", "cj"])

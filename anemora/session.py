@@ -34,12 +34,6 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df, written to the shared folder, without their lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def written(df: DataFrame, what: str = "table") -> DataFrame:
     """The rows of df as a table in the shared folder: columnar, without lineage, read as often as needed."""
     at = scratch(df.sparkSession, what)
