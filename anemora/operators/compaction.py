@@ -126,7 +126,7 @@ def compact_caches(files: DataFrame, target_bytes: int = TARGET_BYTES, open_cost
     spark = files.sparkSession
     with settings(spark, **packed(target_bytes, open_cost)):
         size = files.agg(F.sum(F.coalesce(F.length("body"), F.lit(0)))).first()[0] or 0
-        tasks = max(files.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+        tasks = max(-(-4 * size // target_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
         key = [*CACHE_KEY, "station", "hour"]
         last = Window.partitionBy(*key).orderBy(*[F.desc_nulls_last(c) for c in ("written_at", "file_id", "line_no")])
         kept = (
