@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from anemora.operators import gridmatch, stations as S
+from anemora.operators import events, gridmatch, stations as S
 from anemora.operators.percentile_sketch import latest
 from anemora.plans import pipelines
 from anemora.queries.views import cells, cube, obs, plausible, sql, stations
@@ -237,6 +237,14 @@ def merge_station_sets(spark, d):
     return S.merge_sets([a, b], ["station"]).select("station", "tech", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
 
 
+@query(sql("stations", body="select tech, count(*) as n, round(sum(capacity_gw), 6) as capacity_gw, min(activation_year) as first_year from stations group by 1"))
+def split_by_tech(spark, d):
+    """The list split by technology: size, capacity and first year of each part."""
+    s = stations(spark, d)
+    part = lambda tech: s.filter(F.col("tech") == tech).groupBy("tech").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("capacity_gw"), 6).alias("capacity_gw"), F.min("activation_year").alias("first_year"))
+    return part("wind").unionByName(part("solar"))
+
+
 @query("select distinct region from grid_cell where region not like '^_%' escape '^' and region not like '%^_x' escape '^' and region not like 'x^_%' escape '^' and region not like '%^_repeated' escape '^' and region <> ''")
 def region_discovery(spark, d):
     return readers.regions(table(spark, d, "grid_cell"))
@@ -262,6 +270,14 @@ def source_fallback(spark, d):
     return readers.prefer(own, ["region", "t"]).select("region", "t", "row_id")
 
 
+@query("select distinct obs_id, date_trunc('hour', t) as t from weather_hourly")
+def time_decode(spark, d):
+    """Hours since 1900 brought back to times."""
+    x = table(spark, d, "weather_hourly").dropDuplicates(["obs_id"])
+    hours = F.timestamp_diff("HOUR", F.lit("1900-01-01").cast("timestamp_ntz"), F.date_trunc("hour", "t").cast("timestamp_ntz"))
+    return x.select("obs_id", readers.decode_time(hours.cast("double"), "hours since 1900-01-01").alias("t"))
+
+
 # thresholds and back-fill
 
 CLIM_CELLS = """v as (select tech, lat_idx, lon_idx, run_day, month_no, hour_no, arg_max(clim, loaded_at) as clim from threshold_clim where clim is not null and not isnan(clim) group by all),
@@ -303,8 +319,6 @@ def dq_thresholds(spark, d):
 select s.station, s.t, s.high_wind, coalesce(n.high_temp, 0) as high_temp from s left join n on n.station = s.station and n.t = s.t"""))
 def backfill_signal(spark, d):
     """A second signal, worked out for the summer only, added to a finished table; done twice to the same effect."""
-    from anemora.operators import events
-
     x = events.with_signals(obs(spark, d), "wind")
     done = x.groupBy("station", "t").agg(F.max("signal_high_wind").alias("high_wind"))
     new = x.filter(F.month("t").isin(6, 7, 8)).groupBy("station", "t").agg(F.max("signal_high_temp").alias("high_temp"))
@@ -319,6 +333,19 @@ def skip_existing(spark, d):
     return sinks.open_keys(w, w.filter("month % 2 = 0"), ["station_id", "year", "month"])
 
 
+MASKED = """k as (select o.obs_id, o.temp_c, o.wind_ms, o.precip_mmh, o.rh_pct, o.t, s.s.lat as lat, s.s.lon as lon, s.s.y as y from obs o join site s on s.p = substr(o.station, 1, 3))"""
+
+
+@query(sql("obs", "stations", body="""site as (select substr(station_id, 1, 3) as p, min({'m': station, 'region': region, 'lat': lat, 'lon': lon, 'y': activation_year}) as s from stations where tech = 'solar' and region is not null group by 1),
+""" + MASKED + """
+select obs_id, """ + ", ".join(f"case when year(t) + 20 >= y then {_flag(CONDITIONS['solar_' + e])} else 0 end as {e}" for e in ("freezing_rain", "rainstorm", "high_humidity", "cold_highwind", "icing")) + " from k"))
+def evt_masked(spark, d):
+    """Solar events of sites, counted from their activation on (20 years ahead)."""
+    rows = events.with_signals(obs(spark, d).drop("dust_aod"), "solar").join(_sites(spark, d, "solar"), "station")
+    out = events.masked(rows, F.year("t") + 20 >= F.col("activation_year"))
+    return out.select("obs_id", *[F.col(f"signal_{e}").cast("int").alias(e) for e in ("freezing_rain", "rainstorm", "high_humidity", "cold_highwind", "icing")])
+
+
 # the whole pipeline
 
 SITES = """site as (select substr(station_id, 1, 3) as p, min({{'m': station, 'region': region, 'lat': lat, 'lon': lon, 'y': activation_year}}) as s from stations where tech = '{tech}' and region is not null group by 1)"""
