@@ -69,7 +69,9 @@ def interpolate(df: DataFrame, wanted: DataFrame, value: str = "v", station: str
     order = Window.partitionBy(station).orderBy("t")
     point = F.when(~F.col("ask"), F.struct("t", "x"))
     before = F.last(point, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.first(point, ignorenulls=True).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    # backwards in time: a frame that only grows is worked out in one pass, one that shrinks anew for every row
+    back = Window.partitionBy(station).orderBy(F.desc("t"))
+    after = F.last(point, ignorenulls=True).over(back.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     out = both.withColumns({"p": before, "q": after, "lo": F.min(F.when(~F.col("ask"), F.col("t"))).over(Window.partitionBy(station)), "hi": F.max(F.when(~F.col("ask"), F.col("t"))).over(Window.partitionBy(station))}).filter("ask")
     share = F.try_divide(F.timestamp_diff("MICROSECOND", F.col("p.t"), F.col("t")).cast("double"), F.timestamp_diff("MICROSECOND", F.col("p.t"), F.col("q.t")).cast("double"))
     line = F.when(F.col("p.t") == F.col("q.t"), F.col("p.x")).otherwise(F.col("p.x") * (1 - share) + F.col("q.x") * share)
