@@ -3,7 +3,8 @@
 Texts and items are brought to one form: markup, comment signs, hyphenated line breaks, accents and letter case fall
 away; numbers, units and names become typed placeholders. Windows of K such template words are joined by hash with the
 items' windows. Pairs with as many common windows as any quotation long enough must leave intact are aligned word by
-word; a slot's other value counts as a changed word there. Slots that are filled anew, each value always by the same
+word, and where the best alignment settles nothing, the most words matched are found for each number of edits; a slot's
+other value counts as a changed word there. Slots that are filled anew, each value always by the same
 other one, mark a re-parameterised item.
 
 A null, empty or blank text leaks nothing; a null or empty item is never leaked. Repeated documents count for
@@ -205,8 +206,54 @@ def align(items: list, docs: list, cost: int = 4):
     return matched, (matched - (best >> 20)) // cost
 
 
+def most_matched(items: list, docs: list):
+    """For each pair, by number of edits: the most words that any alignment of any two stretches matches with at most so many.
+
+    An array (pairs, edits); edits go up to the most an item's words allow. State (e, c) stands at word c + e of the item,
+    so that words dropped from the item run down the first of the two.
+    """
+    import numpy as np
+
+    n, m = max(map(len, items)), max(map(len, docs))
+    edits = n // (EDITS - 1)
+    a = np.full((len(items), n), -99, dtype=np.int64)
+    b = np.full((len(docs), m), -98, dtype=np.int64)
+    for r, (x, y) in enumerate(zip(items, docs)):
+        a[r, : len(x)], b[r, : len(y)] = x, y
+    at = np.arange(edits + 1)[:, None] + np.arange(-edits, n + 1)[None, :] - 1
+    words = np.where((at >= 0) & (at < n), a[:, np.clip(at, 0, n - 1)], -99)
+    s = np.zeros(words.shape, dtype=np.int16)
+    best = np.zeros(words.shape[:2], dtype=np.int16)
+    for j in range(m):
+        t = np.zeros_like(s)
+        t[:, :, 1:] = np.where(words[:, :, 1:] == b[:, j, None, None], s[:, :, :-1] + 1, 0)
+        t[:, 1:] = np.maximum(t[:, 1:], s[:, :-1])
+        t[:, 1:, :-1] = np.maximum(t[:, 1:, :-1], s[:, :-1, 1:])
+        s = np.maximum.accumulate(t, axis=1)
+        best = np.maximum(best, s.max(axis=2))
+    return best
+
+
+def leaks(items: list, docs: list, matched, edits, cost: int = 4):
+    """Whether any stretch repeats at least half of the item's words with at most one edit in EDITS words.
+
+    matched and edits are those of align(). Its alignment may be such a stretch itself; a score below what any such stretch
+    has rules all of them out. Other pairs, as those with edits near the ends of a quotation, are searched by number of edits.
+    """
+    import numpy as np
+
+    n = np.array([len(x) for x in items])
+    found = (matched * 2 >= n) & (edits * EDITS <= matched + edits)
+    open_ = np.flatnonzero(~found & ((matched - cost * edits) * 2 * (EDITS - 1) >= n * (EDITS - 1 - cost)))
+    for at in range(0, len(open_), 32):
+        part = open_[at : at + 32]
+        best = most_matched([items[k] for k in part], [docs[k] for k in part])
+        found[part] = ((best * 2 >= n[part, None]) & (best >= np.arange(best.shape[1]) * (EDITS - 1))).any(axis=1)
+    return found
+
+
 def verified_batches(index: Index):
-    """A function over pandas batches of candidates that gives (id, item_id, n, matched, edits, refilled, consistent)."""
+    """A function over pandas batches of candidates that gives (id, item_id, n, matched, edits, leaked, refilled, consistent)."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -220,8 +267,9 @@ def verified_batches(index: Index):
                 items = [index.items[i] for i in part["item_id"]]
                 docs = [np.asarray(ids, dtype=np.int32)[max(0, lo - len(x)) : hi + K + len(x)] for ids, lo, hi, x in zip(part["ids"], part["lo"], part["hi"], items)]
                 matched, edits = align(items, docs)
+                found = leaks(items, docs, matched, edits)
                 refilled, consistent = zip(*[_slots(index, x, np.asarray(ids), np.asarray(dpos), np.asarray(ipos)) for x, ids, dpos, ipos in zip(items, part["ids"], part["dpos"], part["ipos"])])
-                out.append(pd.DataFrame({"id": part["id"], "item_id": part["item_id"], "n": [len(x) for x in items], "matched": matched, "edits": edits, "refilled": refilled, "consistent": consistent}))
+                out.append(pd.DataFrame({"id": part["id"], "item_id": part["item_id"], "n": [len(x) for x in items], "matched": matched, "edits": edits, "leaked": found, "refilled": refilled, "consistent": consistent}))
             if out:
                 yield pd.concat(out)
 
@@ -233,7 +281,7 @@ def _together(shift, n: int) -> bool:
     import numpy as np
 
     shift = np.sort(shift)
-    return bool((np.searchsorted(shift, shift + n // EDITS + 1, side="right") - np.arange(len(shift))).max() >= least_windows(n))
+    return bool((np.searchsorted(shift, shift + n // (EDITS - 1) + 1, side="right") - np.arange(len(shift))).max() >= least_windows(n))
 
 
 def _slots(index: Index, item, ids, dpos, ipos) -> tuple[int, bool]:
@@ -251,7 +299,7 @@ def _slots(index: Index, item, ids, dpos, ipos) -> tuple[int, bool]:
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(id, item_id, n, matched, edits, refilled, consistent) of every pair that may be a quotation."""
+    """(id, item_id, n, matched, edits, leaked, refilled, consistent) of every pair that may be a quotation."""
     rows = items.select(item_col, text_col).limit(ITEMS + 1).collect()
     if len(rows) > ITEMS:
         raise ValueError(f"more than {ITEMS} items")
@@ -264,15 +312,14 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col:
     hits = coded.select("id", "items", F.inline(F.arrays_zip("pos", "h"))).join(F.broadcast(windows), "h").filter(F.array_contains("items", F.col("item_id")))
     places = hits.groupBy("id", "item_id").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.collect_list(F.struct("pos", "ipos")).alias("at"))
     whole = places.select("id", "item_id", "lo", "hi", F.col("at.pos").alias("dpos"), F.col("at.ipos").alias("ipos")).join(coded.select("id", "ids"), "id")
-    return whole.mapInPandas(verified_batches(index), f"id {kind}, item_id bigint, n int, matched int, edits int, refilled int, consistent boolean").withColumnRenamed("id", id_col)
+    return whole.mapInPandas(verified_batches(index), f"id {kind}, item_id bigint, n int, matched int, edits int, leaked boolean, refilled int, consistent boolean").withColumnRenamed("id", id_col)
 
 
 def leaked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, item_id): at least half of the item's words in its order, at most one in EDITS changed, dropped or added."""
-    length = F.col("matched") + F.col("edits")
-    return matches(docs, items, id_col).filter((length * 2 >= F.col("n")) & (F.col("edits") * EDITS <= length)).select(id_col, "item_id")
+    return matches(docs, items, id_col).filter("leaked").select(id_col, "item_id")
 
 
 def reparameterised(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Pairs whose template recurs with other values in its slots, each value replaced by the same one throughout."""
-    return matches(docs, items, id_col).filter((F.col("refilled") > 0) & F.col("consistent"))
+    return matches(docs, items, id_col).filter((F.col("refilled") > 0) & F.col("consistent")).drop("leaked")

@@ -80,6 +80,52 @@ def test_alignment_against_plain_edit_counts():
         assert (matched[0], found[0]) == (len(item) - edits, edits)
 
 
+def stretch_exists(item, doc):
+    """The rule of leaked() tried on every stretch of the document and of the item, by plain tables of edits."""
+    n = len(item)
+    for at in range(len(item)):
+        for start in range(len(doc)):
+            row = {(0, 0): {0: 0}}
+            for i in range(len(item) - at + 1):
+                for j in range(len(doc) - start + 1):
+                    here = row.setdefault((i, j), {})
+                    for (p, q), gain, cost in (((i - 1, j - 1), 1, 0), ((i - 1, j - 1), 0, 1), ((i - 1, j), 0, 1), ((i, j - 1), 0, 1)):
+                        if gain and (not i or not j or item[at + i - 1] != doc[start + j - 1]):
+                            continue
+                        for e, matched in row.get((p, q), {}).items():
+                            if e + cost <= n // 7 and matched + gain > here.get(e + cost, -1):
+                                here[e + cost] = matched + gain
+                    if any(2 * k >= n and 8 * e <= k + e for e, k in here.items()):
+                        return True
+    return False
+
+
+def test_leaks_against_every_stretch():
+    rng = random.Random(6)
+    seen = set()
+    for _ in range(60):
+        item = [rng.randint(1, 30) for _ in range(rng.randint(14, 18))]
+        doc = item[(at := rng.randint(0, 4)) : at + rng.randint(7, 16)]
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(doc))
+            doc[k : k + 1] = rng.choice([[0], [], [doc[k], 0]])
+        docs = [[0] * rng.randint(0, 2) + doc + [0]]
+        got = bool(contamination.leaks([item], docs, *contamination.align([item], docs))[0])
+        assert got == stretch_exists(item, docs[0])
+        seen.add(got)
+    assert seen == {True, False}
+
+
+def test_leaked_with_edits_at_the_ends(spark):
+    words = ITEM.split()[:40]
+    put = lambda text, *at: " ".join("other" if n in at else w for n, w in enumerate(text))
+    spread = [w if n < 24 or n % 4 else "other" for n, w in enumerate(words)]
+    texts = [put(words[:21], 2), put(words[:21], 18), put(words[:23], 2, 20), " ".join(words[:20]), " ".join(spread), put(words[:20], 2), " ".join(words[:19]), put(words[:22], 2, 19)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    got = {r["doc_id"] for r in contamination.leaked(docs(spark, [f"{FILL} {t} {FILL}" for t in texts]), items).collect()}
+    assert got == {0, 1, 2, 3, 4, 7}
+
+
 def test_quality(spark):
     words = spark.createDataFrame([("en", w) for w in "the of and in is that it for a".split()], "lang string, word string")
     prose = "It is clear that the form of the layer in the region is wet and that it is the cause of the change in it. " * 8
