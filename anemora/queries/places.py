@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from anemora.operators import events, gridmatch, stations as S
 from anemora.operators.percentile_sketch import latest
 from anemora.plans import pipelines
-from anemora.queries.views import cells, cube, obs, plausible, sql, stations
+from anemora.queries.views import cells, cube, monthly_cube, obs, plausible, sql, stations
 from anemora.queries.weather import CONDITIONS, PLAIN, TIE, _flag
 from anemora.session import table
 from anemora.sources import readers, sinks
@@ -105,6 +105,34 @@ def gather_weighted_strict(spark, d):
     return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), cube(spark, d), how="strict").withColumn("v", F.round(F.col("v") + TIE, 9))
 
 
+# the same over all months and from the readings; too many rows for SQL
+
+
+@query()
+def valid_cell_mask_monthly(spark, d):
+    return gridmatch.valid_cells(monthly_cube(spark, d))
+
+
+@query()
+def match_nearest_valid_monthly(spark, d):
+    s, g = placed(spark, d), cells(spark, d)
+    return gridmatch.nearest_valid(gridmatch.nearest_regular(s, g), s, g, gridmatch.valid_cells(monthly_cube(spark, d)))
+
+
+@query()
+def gather_nearest_monthly(spark, d):
+    match = gridmatch.nearest_regular(placed(spark, d), cells(spark, d)).select("station", "region", "idx0", "idx1")
+    return gridmatch.gather(match, monthly_cube(spark, d)).withColumn("v", F.round("v", 6))
+
+
+@query()
+def gather_weighted_monthly(spark, d):
+    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), monthly_cube(spark, d)).withColumn("v", F.round("v", 6))
+
+
+@query()
+def gather_weighted_strict_monthly(spark, d):
+    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), monthly_cube(spark, d), how="strict").withColumn("v", F.round("v", 6))
 
 
 @query(sql("stations", "cells", body=NEAREST + ",\n" + "tc as (select lat_idx as idx0, lon_idx as idx1, count(*) as n from (select distinct * from threshold_grid) group by 1, 2)\nselect near.station, near.region, coalesce(tc.n, 0) as thresholds from near left join tc on tc.idx0 = near.idx0 and tc.idx1 = near.idx1 where near.dist_deg <= 0.15"))

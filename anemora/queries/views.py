@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anemora.functions.weather import finite, lon_180
-from anemora.session import table
+from anemora.operators import unit_model
+from anemora.session import small, table, written
 
 VARS = ("temp_c", "wind_ms", "precip_mmh", "irradiance_wm2", "rh_pct", "dust_aod")
 
@@ -46,9 +47,9 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cube(spark: SparkSession, d: str) -> DataFrame:
-    """(region, idx0, idx1, t, v) on all grids: weather_bundle's temperatures by region and day stand at every cell of theirs, with a cell's own share.
+    """(region, idx0, idx1, t, v) on all grids at one time: of each region only the first month with temperatures, and of that the number of rows.
 
-    A cell has no value where its index sum divides by seven.
+    A cheap cube that SQL can follow; monthly_cube has all months and the readings. A cell has no value where its index sum divides by seven.
     """
     w = table(spark, d, "weather_bundle").dropDuplicates(["row_id"]).filter((F.col("var_name") == "tas") & F.col("region").isNotNull())
     days = w.groupBy("region", F.date_trunc("month", "t").cast("timestamp_ntz").alias("t")).agg(F.count(F.lit(1)).alias("n"))
@@ -57,6 +58,20 @@ def cube(spark: SparkSession, d: str) -> DataFrame:
     return cells(spark, d).join(some, "region").select("region", "idx0", "idx1", "t", v.cast("double").alias("v"))
 
 
+def monthly_cube(spark: SparkSession, d: str) -> DataFrame:
+    """(region, idx0, idx1, t, v) on all grids: the mean temperature (K) of every month of a region stands at each of its cells, with a cell's own share.
+
+    All readings count whose unit is stated or assigned with confidence; a month of which none does has no value, nor has a
+    cell whose index sum divides by seven.
+    """
+    w = table(spark, d, "weather_bundle").filter((F.col("var_name") == "tas") & F.col("region").isNotNull() & F.col("t").isNotNull())
+    month = F.date_trunc("month", "t").cast("timestamp_ntz").alias("t")
+    means = unit_model.convert_units(w, table(spark, d, "weather_attrs")).groupBy("region", month).agg(F.avg(finite(F.col("canonical"))).alias("mean"))
+    months = written(w.select("region", month).distinct().join(means, ["region", "t"], "left"), "months")
+    v = F.when((F.col("idx0") + F.col("idx1")) % 7 != 0, F.col("mean") + F.col("idx0") * 0.5 + F.col("idx1") * 0.25)
+    return cells(spark, d).join(small(months, months.count()), "region").select("region", "idx0", "idx1", "t", v.alias("v"))
+
+
 CTE = {
     "obs": """obs as (
   select distinct obs_id, station_id as station, t, case when isfinite(temp_c) then temp_c end as temp_c, case when isfinite(wind_ms) then wind_ms end as wind_ms,

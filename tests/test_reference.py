@@ -176,6 +176,29 @@ def test_bilinear_and_gather(spark):
     assert edge == pytest.approx(1.0)
 
 
+def test_gathers_over_all_months(spark, tmp_path):
+    import datetime as dt
+
+    from anemora.queries import places, views
+
+    day = lambda m, d=1: dt.datetime(2015, m, d, 3)
+    b = "row_id bigint, source string, region string, scenario string, var_name string, t timestamp_ntz, step_hours double, units string, note string, reading double, reading_text string, received_at timestamp_ntz"
+    tas = lambda n, t, unit, x: (n, "s", "g", "h", "tas", t, 1.0, unit, None, x, None, t)
+    spark.createDataFrame([tas(1, day(1), "K", 280.0), tas(1, day(1), "K", 280.0), tas(2, day(1, 9), "degC", 10.0), tas(3, day(2), "K", 290.0), tas(4, day(3), "K", None)], b).write.parquet(f"{tmp_path}/weather_bundle.parquet")
+    spark.createDataFrame([("s", "tas", None)], "source string, var_name string, units string").write.parquet(f"{tmp_path}/weather_attrs.parquet")
+    grid(spark, [40.0, 41.0], [10.0, 11.0]).write.parquet(f"{tmp_path}/grid_cell.parquet")
+    s = "match_id bigint, station_id string, scenario string, tech string, activation_year int, capacity_gw double, lon double, lat double, region string"
+    spark.createDataFrame([(5, "a", "h", "wind", 2030, 1.0, 11.0, 41.0, "g")], s).write.parquet(f"{tmp_path}/station_match.parquet")
+    want = {day(1).replace(hour=0): (280.0 + 283.15) / 2 + 0.75, day(2).replace(hour=0): 290.75, day(3).replace(hour=0): None}
+    for name in ("gather_nearest_monthly", "gather_weighted_monthly", "gather_weighted_strict_monthly"):
+        got = {r["t"]: r["v"] for r in places.QUERIES[name](spark, str(tmp_path)).collect()}
+        assert got == {t: v if v is None else pytest.approx(v) for t, v in want.items()}, name
+    assert views.monthly_cube(spark, str(tmp_path)).count() == 3 * 4
+    valid = {(r["idx0"], r["idx1"]) for r in places.QUERIES["valid_cell_mask_monthly"](spark, str(tmp_path)).collect()}
+    assert valid == {(0, 1), (1, 0), (1, 1)}
+    assert [tuple(r) for r in places.QUERIES["match_nearest_valid_monthly"](spark, str(tmp_path)).collect()] == [(5, "g", 1, 1, 0)]
+
+
 def test_nearest_valid(spark):
     g, s = grid(spark, [0, 1, 2, 3], [0, 1, 2, 3]), at(spark, (3.0, 3.0))
     valid = spark.createDataFrame([("g", 1, 1), ("g", 2, 0)], "region string, idx0 int, idx1 int")
