@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anemora.session import written
+
 #: Degrees within which a station counts as lying on its cell.
 MAX_DIST = 0.15
 
@@ -90,7 +92,8 @@ def nearest_valid(matched: DataFrame, stations: DataFrame, cells: DataFrame, val
     """(key, region, idx0, idx1, ring): the matched cell if valid, else a valid one of the nearest square ring around it.
 
     In a ring the smallest dist_deg wins, then the smaller idx0, then idx1. Longitude indexes go round, latitude ones do
-    not. valid: region, idx0, idx1. A station without valid cell within `rings` has no row.
+    not. valid: region, idx0, idx1. The first `rings` rings are looked up cell by cell, farther ones along the grid's rows; a
+    station has no row only where its grid has no valid cell at all.
     """
     step = F.sequence(F.lit(-rings), F.lit(rings))
     near = _on_axes(matched.select(key, "region", F.col("idx0").alias("i0"), F.col("idx1").alias("j0")).join(stations.select(key, "lat", "lon"), key), cells)
@@ -102,7 +105,29 @@ def nearest_valid(matched: DataFrame, stations: DataFrame, cells: DataFrame, val
     near = near.withColumn("d", F.round(dist, 9)).select(key, "region", "idx0", "idx1", "ring", "d").filter(F.col("d").isNotNull())
     near = near.join(valid.select("region", "idx0", "idx1").distinct(), ["region", "idx0", "idx1"])
     best = near.groupBy(key, "region").agg(F.min(F.struct("ring", "d", "idx0", "idx1")).alias("m"))
-    return best.select(key, "region", "m.idx0", "m.idx1", "m.ring")
+    best = written(best.select(key, "region", "m.idx0", "m.idx1", "m.ring"), "rings")
+    return best.unionByName(_beyond_rings(matched.join(best, [key, "region"], "left_anti"), stations, cells, valid, key))
+
+
+def _beyond_rings(left: DataFrame, stations: DataFrame, cells: DataFrame, valid: DataFrame, key: str) -> DataFrame:
+    """nearest_valid for stations whose first rings hold no valid cell.
+
+    The ring comes from each matched cell once, over the rows of its grid; then the stations measure the cells of that ring.
+    """
+    regular = cells.filter(F.col("grid_kind") == "regular_latlon")
+    lats, lons = regular.groupBy("region", "idx0").agg(F.min("lat").alias("glat")), regular.groupBy("region", "idx1").agg(F.min("lon").alias("glon"))
+    width = regular.groupBy("region").agg((F.max("idx1") + 1).alias("width"))
+    rows = valid.select("region", "idx0", "idx1").distinct().join(lats, ["region", "idx0"]).join(lons, ["region", "idx1"])
+    rows = rows.groupBy("region", F.col("idx0").alias("i"), "glat").agg(F.collect_list(F.struct(F.col("idx1").alias("j"), F.col("glon").alias("g"))).alias("row"))
+    ring = lambda j: F.greatest(F.abs(F.col("i") - F.col("i0")), F.least(F.pmod(j - F.col("j0"), F.col("width")), F.pmod(F.col("j0") - j, F.col("width"))))
+    left = left.select(key, "region", F.col("idx0").alias("i0"), F.col("idx1").alias("j0"))
+    at = left.select("region", "i0", "j0").distinct().join(width, "region").join(rows, "region")
+    rings = at.groupBy("region", "i0", "j0", "width").agg(F.min(F.array_min(F.transform("row", lambda x: ring(x["j"])))).alias("ring"))
+    own = left.join(stations.select(key, "lat", "lon"), key).join(rings, ["region", "i0", "j0"]).join(rows, "region").filter(F.abs(F.col("i") - F.col("i0")) <= F.col("ring"))
+    d = lambda x: F.round(F.greatest(F.abs(F.col("glat") - F.col("lat")), lon_diff(x["g"], F.col("lon"))), 9)
+    inside = F.filter("row", lambda x: ring(x["j"]) == F.col("ring"))
+    best = own.select(key, "region", "ring", F.array_min(F.transform(inside, lambda x: F.struct(d(x).alias("d"), F.col("i").alias("idx0"), x["j"].alias("idx1")))).alias("m"))
+    return best.groupBy(key, "region", "ring").agg(F.min("m").alias("m")).select(key, "region", "m.idx0", "m.idx1", "ring")
 
 
 def gather(bridge: DataFrame, cube: DataFrame, value: str = "v", key: str = "station", how: str = "renormalise") -> DataFrame:

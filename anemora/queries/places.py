@@ -89,6 +89,21 @@ def match_nearest_valid(spark, d):
     return gridmatch.nearest_valid(gridmatch.nearest_regular(s, g), s, g, gridmatch.valid_cells(cube(spark, d)))
 
 
+HOLES = "floor(idx0 / 12) % 2 = 0 and floor(idx1 / 14) % 2 = 0"
+
+
+@query(sql("stations", "cells", body=NEAREST + f""",
+valid as (select region, idx0, idx1 from cells where {HOLES}),
+w as (select region, max(idx1) + 1 as width from lo group by 1),
+k as (select near.station, near.region, min({{'ring': greatest(abs(v.idx0 - near.idx0), least((v.idx1 - near.idx1 + width) % width, (near.idx1 - v.idx1 + width) % width)), 'd': round(greatest(abs(la.lat - s.lat), {GAP.format(a="lo.lon", b="s.lon")}), 9), 'i': v.idx0, 'j': v.idx1}}) as m
+  from near join w on w.region = near.region join valid v on v.region = near.region join la on la.region = v.region and la.idx0 = v.idx0 join lo on lo.region = v.region and lo.idx1 = v.idx1 join stations s on s.station = near.station group by 1, 2)
+select station, region, cast(m.i as int) as idx0, cast(m.j as int) as idx1, cast(m.ring as int) as ring from k"""))
+def match_nearest_valid_holes(spark, d):
+    """The same under a mask whose holes are up to 14 cells wide."""
+    s, g = placed(spark, d), cells(spark, d)
+    return gridmatch.nearest_valid(gridmatch.nearest_regular(s, g), s, g, g.filter(HOLES))
+
+
 @query(sql("stations", "cube", body=NEAREST + "\nselect near.station, cube.t, round(cube.v, 6) as v from near join cube using (region, idx0, idx1)"))
 def gather_nearest(spark, d):
     match = gridmatch.nearest_regular(placed(spark, d), cells(spark, d)).select("station", "region", "idx0", "idx1")

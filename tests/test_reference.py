@@ -206,6 +206,15 @@ def test_nearest_valid(spark):
     assert (r["idx0"], r["idx1"], r["ring"]) == (2, 0, 1)  # next door going round; its ring counts before its distance
 
 
+def test_nearest_valid_beyond_the_first_rings(spark):
+    g, s = grid(spark, range(12), range(20)), at(spark, (2.0, 3.2), (2.0, 9.0), (11.0, 3.0))
+    valid = spark.createDataFrame([("g", 2, 16), ("g", 9, 10), ("g", 9, 9)], "region string, idx0 int, idx1 int")
+    near = lambda v: {r["station"]: (r["idx0"], r["idx1"], r["ring"]) for r in gridmatch.nearest_valid(gridmatch.nearest_regular(s, g), s, g, v).collect()}
+    assert near(valid) == {0: (9, 9, 7), 1: (2, 16, 7), 2: (9, 9, 6)}  # station 1: equally near, the smaller index wins
+    assert near(valid.filter("idx0 = 2")) == {0: (2, 16, 7), 1: (2, 16, 7), 2: (2, 16, 9)}
+    assert near(valid.limit(0)) == {}
+
+
 def test_stations(spark):
     raw = spark.createDataFrame([("2030", " Wind ", "359", "40", "1.0"), ("x", "wind", "1", "2", "3"), ("2030", "solar", None, "2", "3"), ("2040", "solar", "10", "nan", "3")], "year string, type string, lon string, lat string, capacity_gw string")
     assert [tuple(r) for r in S.parse(raw).collect()] == [(2030, "wind", -1.0, 40.0, 1.0)]
