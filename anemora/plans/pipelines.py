@@ -41,8 +41,9 @@ def station_signals(weather: DataFrame, stations: DataFrame, cells: DataFrame, t
     weather: station, t and the canonical columns. stations: station, region, lat, lon, activation_year. `ahead` years
     are added to the weather's years before they are compared with the activation year. Stations without match have 0.
     """
-    match = gridmatch.nearest_regular(stations, cells, "station", max_dist)
-    sites = stations.join(match.select("station", "region", "idx0", "idx1", "dist_deg", "valid"), ["station", "region"], "left")
+    on_2d = gridmatch.nearest_2d(stations, cells, "station").withColumn("valid", F.col("dist_deg") <= max_dist)
+    match = gridmatch.nearest_regular(stations, cells, "station", max_dist).unionByName(on_2d)  # the join keeps each site's own region, which is of one kind
+    sites = stations.join(match, ["station", "region"], "left")
     resource = F.col("wind_ms") if tech == "wind" else F.col("rsds")
     low = lowres.low_resource(weather.select("station", "t", resource.cast("double").alias("v")))
     rows = events.with_signals(weather, tech).join(low.select("station", "t", F.col("low_resource").alias("signal_low_resource")), ["station", "t"]).join(sites, "station")

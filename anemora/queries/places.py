@@ -402,12 +402,29 @@ def _sites(spark, d, tech):
     return w.join(site, "p").select("station", "s.region", "s.lat", "s.lon", "s.activation_year")
 
 
+def _signals(spark, d, tech, grids):
+    columns = {"wind": ("temp_c", "wind_ms", "rh_pct"), "solar": ("temp_c", "wind_ms", "precip_mmh", "rh_pct", "rsds", "dust_aod")}[tech]
+    h = obs(spark, d).withColumn("t", F.date_trunc("hour", "t").cast("timestamp_ntz")).groupBy("station", "t").agg(*[F.round(F.avg(plausible(c)), 6).alias(c) for c in columns])
+    out = pipelines.station_signals(h, _sites(spark, d, tech), grids, tech, ahead=20)
+    return out.select("station", "t", *[F.col(c).cast("int").alias(c[len("signal_"):]) for c in out.columns if c.startswith("signal_")])
+
+
 @query()
 def pipeline_station_signals(spark, d):
-    """Wind signals of sites with hourly weather: match, events, low resource, activation (20 years ahead) and distance masks."""
-    h = obs(spark, d).withColumn("t", F.date_trunc("hour", "t").cast("timestamp_ntz")).groupBy("station", "t").agg(*[F.round(F.avg(plausible(c)), 6).alias(c) for c in ("temp_c", "wind_ms", "rh_pct")])
-    out = pipelines.station_signals(h, _sites(spark, d, "wind"), cells(spark, d), "wind", ahead=20)
-    return out.select("station", "t", *[F.col(f"signal_{e}").cast("int").alias(e) for e in ("icing", "high_temp", "hot_humid", "high_wind", "low_resource")])
+    """Wind signals of sites with hourly weather, on regular grids alone, as the SQL has them: match, events, low resource, activation (20 years ahead) and distance masks."""
+    return _signals(spark, d, "wind", cells(spark, d).filter("grid_kind = 'regular_latlon'"))
+
+
+@query()
+def pipeline_station_signals_wind(spark, d):
+    """Wind signals of sites on all grids."""
+    return _signals(spark, d, "wind", cells(spark, d))
+
+
+@query()
+def pipeline_station_signals_solar(spark, d):
+    """Solar signals of sites on all grids, with the night mask."""
+    return _signals(spark, d, "solar", cells(spark, d))
 
 
 ORACLES["pipeline_station_signals"] = sql(

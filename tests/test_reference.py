@@ -215,6 +215,18 @@ def test_nearest_valid_beyond_the_first_rings(spark):
     assert near(valid.limit(0)) == {}
 
 
+def test_station_signals_on_two_dimensional_grids(spark):
+    import datetime as dt
+
+    from anemora.plans import pipelines
+
+    g = grid(spark, [50.0, 50.2], [10.0, 10.2], "r", "rotated_pole").union(grid(spark, [50.0, 50.2], [10.0, 10.2]))
+    s = spark.createDataFrame([("a", "r", 50.01, 10.01, 2010), ("b", "r", 50.4, 10.0, 2010), ("c", "g", 50.01, 10.01, 2010)], "station string, region string, lat double, lon double, activation_year int")
+    w = spark.createDataFrame([(k, dt.datetime(2015, 7, 1, h), 30.0, 25.0, 50.0) for k in "abc" for h in range(24)], "station string, t timestamp_ntz, temp_c double, wind_ms double, rh_pct double")
+    rows = pipelines.station_signals(w, s, g, "wind").groupBy("station").agg(F.count(F.lit(1)).alias("n"), F.sum("signal_high_wind").alias("high")).collect()
+    assert {r["station"]: (r["n"], r["high"]) for r in rows} == {"a": (24, 24), "b": (24, 0), "c": (24, 24)}  # b is too far from any cell
+
+
 def test_stations(spark):
     raw = spark.createDataFrame([("2030", " Wind ", "359", "40", "1.0"), ("x", "wind", "1", "2", "3"), ("2030", "solar", None, "2", "3"), ("2040", "solar", "10", "nan", "3")], "year string, type string, lon string, lat string, capacity_gw string")
     assert [tuple(r) for r in S.parse(raw).collect()] == [(2030, "wind", -1.0, 40.0, 1.0)]
