@@ -47,11 +47,16 @@ def p5_found(spark, d):
 
 
 def p5_reasons(spark, d):
-    """Every flag with its reason and the size of its largest scaled wavelet detail."""
-    return spikes.flagged(table(spark, d, "weather_hourly"))
+    """Every flag with its reason."""
+    return spikes.flagged(table(spark, d, "weather_hourly")).select("obs_id", "var_name", "reason")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p3_found, p3_unstated, p4_found, p4_percentiles, p5_found, p5_reasons)}
+def p5_coverage(spark, d):
+    """By variable: readings, those that the wavelet details leave over, those above their limit and how many of these are among them."""
+    return spikes.coverage(table(spark, d, "weather_hourly"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p3_found, p3_unstated, p4_found, p4_percentiles, p5_found, p5_reasons, p5_coverage)}
 
 GAP = "abs((((({a}) - ({b}) + 180) % 360) + 360) % 360 - 180)"
 LON_GAP = GAP.format(a="lo.lon", b="s.lon")
@@ -85,7 +90,7 @@ s as (select g.tech, g.lat_idx, g.lon_idx, g.pctl, g.threshold, avg(case when cl
 select distinct tech, lat_idx, lon_idx, pctl from s where abs(share - pctl / 100.0) > 0.02
 """
 
-P5_SQL = """
+P5_PARTS = """
 with h as (
   select obs_id, station_id, t, arg_max({'i': irradiance_wm2, 'p': precip_mmh}, received_at) as v from weather_hourly group by obs_id, station_id, t),
 x as (
@@ -96,11 +101,11 @@ m as (select station_id, var_name, hour, case when var_name = 'precip_mmh' then
   from y where var_name = 'irradiance_wm2' or x > 0 group by station_id, var_name, hour),
 a as (select *, case when x = lag(x) over (partition by station_id, var_name order by t, obs_id) then 0 else 1 end as turn from y),
 b as (select *, sum(turn) over (partition by station_id, var_name order by t, obs_id) as run from a),
-c as (select *, count(*) over (partition by station_id, var_name, run) as n from b)
-select distinct obs_id, var_name from (
-  select obs_id, var_name from y where case when var_name = 'precip_mmh' then x < 0 or x > 300 else x < -5 or x > 1361 end
-  union all select obs_id, var_name from y join m using (station_id, var_name, hour) where x > cap
-  union all select obs_id, var_name from c where n >= 8 and x > 0)
+c as (select *, count(*) over (partition by station_id, var_name, run) as n from b),
+f as (select obs_id, var_name, 'impossible' as reason from y where case when var_name = 'precip_mmh' then x < 0 or x > 300 else x < -5 or x > 1361 end
+  union all select obs_id, var_name, 'far_out' from y join m using (station_id, var_name, hour) where x > cap
+  union all select obs_id, var_name, 'stuck' from c where n >= 8 and x > 0)
 """
+P5_SQL = P5_PARTS + "select distinct obs_id, var_name from f"
 
-ORACLES = {"p1_found": P1_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL}
+ORACLES = {"p1_found": P1_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL, "p5_reasons": P5_PARTS + "select obs_id, var_name, reason from f"}
