@@ -4,8 +4,8 @@ compact_files   tiny files in a folder: combined input splits, coalesce without
 compact_caches  a table of tiny cache files, one per row: the same, with each record kept exactly once
 
 Both pack the input with the engine's own split settings (many small files to one task, by bytes and by the cost of
-opening a file), write to a staging folder in the shared directory, read that back and compare row count and an
-order-free checksum with what went in, and only then hand out (or move to) the result.
+opening a file), write to a staging folder in the shared directory, read that back and compare row count, an
+order-free checksum and (caches) the number of different keys with what went in, and only then hand out (or move to) the result.
 
 Nulls: a null, empty or broken-off body yields the complete lines it has, possibly none. Repeated rows and repeated
 records count once. An empty table gives an empty result. Extra columns are ignored (caches) or kept (files).
@@ -13,10 +13,12 @@ records count once. An empty table gives an empty result. Extra columns are igno
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anemora.session import once, scratch, settings
+from anemora.session import once, scratch, settings, small, written
 
 #: Size that an output file should have at least, and the input bytes that one read task packs together.
 TARGET_BYTES = 128 << 20
@@ -40,39 +42,55 @@ def packed(pack_bytes: int = TARGET_BYTES, open_cost: int = OPEN_COST_BYTES):
     return {"spark__sql__files__maxPartitionBytes": str(pack_bytes), "spark__sql__files__openCostInBytes": str(open_cost)}
 
 
-def staged_write(df: DataFrame, files: int | None, by: list[str] | None = None, overwrite_into: str | None = None) -> DataFrame:
-    """df as files in a staging folder, verified; coalesced without a shuffle to that many files (of each partition).
+def _path(spark: SparkSession, at: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(at)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folder_bytes(spark: SparkSession, at: str) -> int:
+    fs, p = _path(spark, at)
+    return fs.getContentSummary(p).getLength()
 
-    With overwrite_into the verified folder is moved there; the target must not exist.
+
+def verify(before: DataFrame, after: DataFrame, key: list[str] | None = None, source: DataFrame | None = None) -> None:
+    """Raise VerificationError unless after has the rows of before (number and order-free checksum).
+
+    With a key: unless no two rows of after share it, and unless after has as many rows as source, if given, has different keys.
     """
-    spark = df.sparkSession
-    stage = scratch(spark, "staged")
-    seen = Observation()
-    checksum = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
-    out = df.observe(seen, F.count(F.lit(1)).alias("n"), checksum.alias("h"))
-    if files is not None:
-        out = out.coalesce(files)
+    checksum = F.sum(F.xxhash64(*before.columns).cast("decimal(38,0)"))
+    keys = lambda df: F.count_distinct(F.xxhash64(*key)) if key and df is not None else F.lit(None).cast("bigint")
+    want = before.agg(F.count(F.lit(1)).alias("n"), checksum.alias("h")).first()
+    got = after.agg(F.count(F.lit(1)).alias("n"), checksum.alias("h"), keys(after).alias("k")).first()
+    if (got["n"], got["h"]) != (want["n"], want["h"]):
+        raise VerificationError(f"{got['n']} rows were read, {want['n']} written")
+    if key and got["k"] != got["n"]:
+        raise VerificationError(f"{got['n']} rows have {got['k']} keys")
+    if source is not None and (came := source.agg(keys(source).alias("k")).first()["k"]) != got["n"]:
+        raise VerificationError(f"{came} keys came in, {got['n']} rows went out")
+
+
+def staged(parts: list[DataFrame], by: list[str] | None = None) -> tuple[DataFrame, str]:
+    """The rows of all parts as files in a staging folder, one file a task, and the folder; to be verified before it is handed out."""
+    out = reduce(DataFrame.unionByName, parts)
+    stage = scratch(out.sparkSession, "staged")
     writer = out.write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).parquet(stage)
-    back = spark.read.schema(df.schema).parquet(stage)
-    got = back.agg(F.count(F.lit(1)).alias("n"), checksum.alias("h")).first()
-    if (got["n"], got["h"]) != (seen.get["n"], seen.get["h"]):
-        raise VerificationError(f"{stage}: {got['n']} rows were read, {seen.get['n']} written")
-    if overwrite_into is None:
-        return back
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(stage).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(path(overwrite_into)) or not fs.rename(path(stage), path(overwrite_into)):
-        raise FileExistsError(overwrite_into)
-    return spark.read.schema(df.schema).parquet(overwrite_into)
+    return out.sparkSession.read.schema(out.schema).parquet(stage), stage
 
 
 def compact_files(spark: SparkSession, source: str, target: str, fmt: str = "parquet", target_bytes: int = TARGET_BYTES, open_cost: int = OPEN_COST_BYTES, **options: str) -> DataFrame:
-    """The folder source of many small files as a folder target of few; no record is lost or doubled, nothing is shuffled."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    size = path(source).getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path(source)).getLength()
+    """The folder source of many small files as a folder target of few; no record is lost or doubled, nothing is shuffled.
+
+    The target must not exist; it appears at once and only after verification.
+    """
     with settings(spark, **packed(target_bytes, open_cost)):
-        return staged_write(spark.read.options(**options).format(fmt).load(source), max(1, -(-size // target_bytes)), overwrite_into=target)
+        many = spark.read.options(**options).format(fmt).load(source)
+        few, stage = staged([many.coalesce(max(1, -(-folder_bytes(spark, source) // target_bytes)))])
+        verify(many, few)
+    fs, to = _path(spark, target)
+    if fs.exists(to) or not fs.rename(_path(spark, stage)[1], to):
+        raise FileExistsError(target)
+    return spark.read.schema(few.schema).parquet(target)
 
 
 def canonical_path(path: Column) -> Column:
@@ -117,23 +135,39 @@ def cache_records(files: DataFrame) -> DataFrame:
     )
 
 
+def latest_records(records: DataFrame, part_bytes: int, row_bytes: float) -> DataFrame:
+    """Each record once: the latest written_at holds, then the largest file_id, then the largest line_no.
+
+    A cache is cut by (station, hour) into as many buckets as it has part_bytes; a bucket is what one task ranks.
+    """
+    spark = records.sparkSession
+    sizes = written(records.groupBy(*CACHE_KEY).agg(F.greatest(F.ceil(F.count(F.lit(1)) * row_bytes / part_bytes), F.lit(1)).alias("buckets")), "sizes")
+    n, total = sizes.agg(F.count(F.lit(1)), F.sum("buckets")).first()
+    cut = records.join(small(sizes, n), CACHE_KEY).withColumn("bucket", F.pmod(F.xxhash64("station", "hour"), F.col("buckets"))).drop("buckets")
+    tasks = max(total or 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    last = Window.partitionBy(*CACHE_KEY, "bucket", "station", "hour").orderBy(*[F.desc_nulls_last(c) for c in ("written_at", "file_id", "line_no")])
+    return cut.repartition(tasks, *CACHE_KEY, "bucket").withColumn("rank", F.row_number().over(last)).filter("rank = 1").drop("rank", "bucket")
+
+
 def compact_caches(files: DataFrame, target_bytes: int = TARGET_BYTES, open_cost: int = OPEN_COST_BYTES) -> DataFrame:
     """The caches of a table of tiny files, each record once, as few files of about target_bytes in a verified folder.
 
-    The latest written_at holds, then the largest file_id, then the largest line_no. Rows are laid out by range of
-    (cache, station, hour), so that a cache with most of the files is cut into as many parts as its size asks for.
+    Three steps through the shared folder: the lines, parsed once; the records, ranked in buckets of a quarter of the
+    target; of each cache its parts, packed into combined splits and coalesced without a shuffle. There is one branch of
+    the last plan for each cache, as a cache never shares a file with another.
     """
     spark = files.sparkSession
+    columns = ["station", "hour", "cf", "file_id", "line_no", "written_at", *CACHE_KEY]
     with settings(spark, **packed(target_bytes, open_cost)):
-        size = files.agg(F.sum(F.coalesce(F.length("body"), F.lit(0)))).first()[0] or 0
-        tasks = max(-(-4 * size // target_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
-        key = [*CACHE_KEY, "station", "hour"]
-        last = Window.partitionBy(*key).orderBy(*[F.desc_nulls_last(c) for c in ("written_at", "file_id", "line_no")])
-        kept = (
-            cache_records(files)
-            .repartitionByRange(tasks, *key)
-            .withColumn("rank", F.row_number().over(last))
-            .filter("rank = 1")
-            .drop("rank")
-        )
-        return staged_write(kept.select("station", "hour", "cf", "file_id", "line_no", "written_at", *CACHE_KEY), max(1, -(-size // target_bytes)), by=CACHE_KEY)
+        lines_at, parts_at = scratch(spark, "lines"), scratch(spark, "parts")
+        cache_records(files).write.parquet(lines_at)
+        lines = spark.read.parquet(lines_at)
+        row_bytes = folder_bytes(spark, lines_at) / max(1, lines.count())
+        latest_records(lines, target_bytes // 4, row_bytes).select(*columns).write.partitionBy(*CACHE_KEY).parquet(parts_at)
+        parts = spark.read.schema(lines.select(*columns).schema).parquet(parts_at)
+        fs, at = _path(spark, parts_at)
+        caches = [str(f.getPath()) for f in fs.globStatus(_path(spark, parts_at + "/*=*" * len(CACHE_KEY))[1]) or []]
+        read = spark.read.schema(parts.schema).option("basePath", parts_at)
+        few, _ = staged([read.parquet(c).coalesce(max(1, -(-folder_bytes(spark, c) // target_bytes))) for c in caches] or [parts], CACHE_KEY)
+        verify(parts, few, [*CACHE_KEY, "station", "hour"], lines)
+        return few

@@ -94,6 +94,27 @@ def test_compact_caches(spark):
     assert got == [(1, 4), (2, 3), (3, 2), (7, 1)]
 
 
+def test_compact_caches_splits_a_large_cache(spark):
+    """One cache with almost all records becomes several files of about the target size, the other caches one each."""
+    small = CACHE.replace("bilinear", "nearest_valid")
+    rows = [(n, (small if n % 20 == 0 else CACHE) + f"f{n}.csv", datetime(2025, 1, 1), "\n".join(f"{n // 2};{1546318800 + 3600 * k};0.{k + n % 2}" for k in range(100))) for n in range(200)]
+    out = compaction.compact_caches(files(spark, rows), target_bytes=8_000)
+    names = [f.rsplit("/", 2) for f in out.inputFiles()]
+    assert sum("interpolation=nearest_valid" in d for _, d, _ in names) == 1
+    assert 3 <= sum("interpolation=bilinear" in d for _, d, _ in names) < 40
+    assert out.count() == out.select("interpolation", "station", "hour").distinct().count() == 10 * 100 + 100 * 100
+    # of the two files of a station in one cache the larger file_id holds
+    assert out.filter("interpolation = 'bilinear' and file_id % 2 = 0").count() == 0
+
+
+def test_verified(spark):
+    rows = spark.range(10).selectExpr("id", "id % 5 as k")
+    compaction.verify(rows, rows, ["id"], rows)
+    for bad, key, source in ((rows.limit(9), ["id"], None), (rows.unionByName(rows.limit(1)), ["id"], None), (rows, ["k"], None), (rows, ["id"], spark.range(11).selectExpr("id"))):
+        with pytest.raises(compaction.VerificationError):
+            compaction.verify(rows, bad, key, source)
+
+
 def test_compact_caches_empty(spark):
     assert compaction.compact_caches(files(spark, [])).count() == 0
 
@@ -256,6 +277,6 @@ def test_spikes_against_brute_force(spark):
     assert any(x[0] > k - 30 for x in got)
     few, most = ({r["var_name"]: r for r in spikes.coverage(df, spike).collect()} for spike in (1e6, spikes.SPIKE))
     for v in spikes.BOUNDS:
-        assert few[v]["candidates"] < most[v]["candidates"] < 0.6 * most[v]["readings"] and most[v]["far_candidates"] >= 0.95 * most[v]["far_out"]
+        assert few[v]["candidates"] < most[v]["candidates"] < 0.6 * most[v]["readings"] and most[v]["far_candidates"] >= 0.9 * most[v]["far_out"]
     assert len(spikes.found(df, 1e6).collect()) < len(got)
     assert spikes.found(df.limit(0)).count() == 0
