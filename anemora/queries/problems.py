@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from anemora.operators import compaction, percentile_sketch, region_match, spikes, unit_model
-from anemora.session import table
+from anemora.session import scratch, table
 
 
 def p1_found(spark, d):
@@ -13,14 +13,22 @@ def p1_found(spark, d):
 
 
 def p1_distances(spark, d):
-    """p1_found with the distance and whether the cover settled it without an exact test."""
-    return region_match.nearest_in_regions(table(spark, d, "station_match"), table(spark, d, "grid_cell"))
+    """p1_found with the distance."""
+    out = region_match.nearest_in_regions(table(spark, d, "station_match"), table(spark, d, "grid_cell"))
+    return out.select("match_id", "region", "idx0", "idx1", F.round("dist_deg", 6).alias("dist_deg"))
 
 
 def p2_found(spark, d):
     return compaction.compact_caches(table(spark, d, "station_cf_cache")).select("file_id", "line_no")
 
 
+def p2_compacted_files(spark, d):
+    """The table of files, laid out as very many small files and brought back to few without loss."""
+    many, few = scratch(spark, "many"), scratch(spark, "few")
+    table(spark, d, "station_cf_cache").repartition(64, "file_id").write.parquet(many)
+    return compaction.compact_files(spark, many, few).select("file_id", "path", "n_bytes")
+
+
 def p3_found(spark, d):
     return unit_model.restated(unit_model.convert_units(table(spark, d, "weather_bundle"), table(spark, d, "weather_attrs")))
 
@@ -56,7 +64,7 @@ def p5_coverage(spark, d):
     return spikes.coverage(table(spark, d, "weather_hourly"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p3_found, p3_unstated, p4_found, p4_percentiles, p5_found, p5_reasons, p5_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_compacted_files, p3_found, p3_unstated, p4_found, p4_percentiles, p5_found, p5_reasons, p5_coverage)}
 
 GAP = "abs((((({a}) - ({b}) + 180) % 360) + 360) % 360 - 180)"
 LON_GAP = GAP.format(a="lo.lon", b="s.lon")
@@ -76,10 +84,30 @@ b as (select match_id, region, arg_min(idx1, {LON_GAP}) as idx1, min({LON_GAP})
 r as (select match_id, region, arg_min(idx0, d) as idx0, arg_min(idx1, d) as idx1, min(d) as d from (
     select match_id, region, idx0, idx1, sqrt((g.lat - s.lat) * (g.lat - s.lat) + {CELL_GAP} * {CELL_GAP}) as d
     from s join g on g.grid_kind = 'rotated_pole' and g.lat between s.lat - 0.21 and s.lat + 0.21 and {CELL_GAP} <= 0.21) group by match_id, region)
-select match_id, region, idx0, idx1 from a join b using (match_id, region) where round(greatest(d0, d1), 9) <= 0.2
+
+"""
+P1_DISTANCES = P1_SQL + """select match_id, region, idx0, idx1, round(greatest(d0, d1), 6) as dist_deg from a join b using (match_id, region) where round(greatest(d0, d1), 9) <= 0.2
+union all select match_id, region, idx0, idx1, round(d, 6) from r where round(d, 9) <= 0.2
+"""
+P1_SQL += """select match_id, region, idx0, idx1 from a join b using (match_id, region) where round(greatest(d0, d1), 9) <= 0.2
 union all select match_id, region, idx0, idx1 from r where round(d, 9) <= 0.2
 """
 
+P2_SQL = f"""
+with a as (
+  select file_id, written_at, body, regexp_replace(lower(trim(replace(url_decode(trim(path)), chr(92), '/'))), '^[a-z][a-z0-9+.-]+:/*', '/') as p from station_cf_cache),
+b as (select * replace (regexp_replace(regexp_replace('/' || p, '/(\\./)+', '/', 'g'), '/+', '/', 'g') as p) from a),
+c as (select * replace (regexp_replace(regexp_replace(p, '/[^/]+/\\.\\./', '/'), '/[^/]+/\\.\\./', '/') as p) from b),
+d as (select file_id, written_at, body, p, regexp_extract(p, '{compaction.CACHE_DIR}', ['scenario', 'tech', 'years', 'interpolation']) as cache from c where not regexp_matches(p, '{compaction.UNFINISHED}')),
+e as (select file_id, written_at, cache, unnest(string_split(body, chr(10))) as line, generate_subscripts(string_split(body, chr(10)), 1) as line_no from d where cache.scenario <> ''),
+f as (select *, regexp_split_to_array(regexp_replace(line, '\\r$', ''), '[;,]') as f from e),
+g as (select file_id, line_no, written_at, cache, try_cast(trim(f[1]) as bigint) as station, trim(f[2]) as t from f where len(f) = 3 and regexp_matches(trim(f[1]), '^[+-]?[0-9]+$')),
+h as (select *, case when regexp_matches(t, '^-?[0-9]{{1,15}}$') then cast(floor(try_cast(t as bigint) / 3600) as bigint)
+  when regexp_matches(t, '^[0-9]{{4}}-[0-9][0-9]-[0-9][0-9][T ][0-9][0-9](:?[0-9][0-9]){{0,2}}(\\.[0-9]+)?Z?$') then date_diff('day', date '1970-01-01', try_cast(t[1:10] as date)) * 24 + try_cast(t[12:13] as int) end as hour from g)
+select file_id, cast(line_no as int) as line_no from h where station is not null and hour is not null
+qualify row_number() over (partition by cache, station, hour order by written_at desc nulls last, file_id desc, line_no desc) = 1
+"""
+
 P4_SQL = """
 with v as (
   select tech, lat_idx, lon_idx, run_day, month_no, hour_no, arg_max(clim, loaded_at) as clim from threshold_clim
@@ -108,4 +136,4 @@ f as (select obs_id, var_name, 'impossible' as reason from y where case when var
 """
 P5_SQL = P5_PARTS + "select distinct obs_id, var_name from f"
 
-ORACLES = {"p1_found": P1_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL, "p5_reasons": P5_PARTS + "select obs_id, var_name, reason from f"}
+ORACLES = {"p1_found": P1_SQL, "p1_distances": P1_DISTANCES, "p2_found": P2_SQL, "p2_compacted_files": "select file_id, path, n_bytes from station_cf_cache", "p4_found": P4_SQL, "p5_found": P5_SQL, "p5_reasons": P5_PARTS + "select obs_id, var_name, reason from f"}
