@@ -126,26 +126,37 @@ def test_leaked_with_edits_at_the_ends(spark):
     assert got == {0, 1, 2, 3, 4, 7}
 
 
+PROSE = [
+    "It is clear that the form of the layer in this region is wet, and that it was the cause of most of the change seen in spring. ",
+    "We have to show for each model that its mean holds with a small error, which is the aim of the next section. ",
+    "Over the last decade the field has been warm and the wind from the north was weak, but no one knows why it is so. ",
+    "A second scale, based on the same data, gives a better view of what happens with the ice in a cold winter. ",
+]
+
+
 def test_quality(spark):
-    words = spark.createDataFrame([("en", w) for w in "the of and in is that it for a".split()], "lang string, word string")
-    prose = "It is clear that the form of the layer in the region is wet and that it is the cause of the change in it. " * 8
+    listed = spark.createDataFrame([("en", w) for w in "the of and in is that it for a to have be with was The of".split()] + [("en", None), ("en", "")], "lang string, word string")
+    prose = "\n\n".join("".join(PROSE[n:] + PROSE[:n]) for n in range(4))
     listing = "\\begin{document}\n" + "\n".join(f"\\item entry{n} thing" for n in range(60)) + "\nThis is the end of it."
     table = "\n".join(f"{n} & {n}.5 & 3 \\\\" for n in range(80))
     junk = "\n".join("QWxsIHlvdXIgYmFzZSBhcmUgYmVsb25nIHRv" for _ in range(40))
     bibliography = "\\begin{thebibliography}{9}\n" + "\n".join(f"\\bibitem{{a{n}}} Name, A. The form of the layer in the region. J. X, {n}." for n in range(30)) + "\n\\end{thebibliography}"
-    texts = [None, "", "  \n ", prose, listing, table, junk, bibliography, prose * 6 + bibliography[:600], "\\usepackage{x}\n\\begin{document}\n" + prose, "x" * 200_000, "&" * 100_000, "\u00a0", "\u200b \u3000\n"]
-    assert {r["doc_id"] for r in quality.not_prose(docs(spark, texts), words).collect()} == {4, 5, 6, 7, 10, 11}
-    rows = {r["doc_id"]: r for r in quality.judged(quality.statistics(docs(spark, texts), words)).collect()}
+    repeated = "the wind of the north is in the ice. " * 60
+    texts = [None, "", "  \n ", prose, listing, table, junk, bibliography, prose * 2 + "\n" + bibliography[:400], "\\usepackage{x}\n\\begin{document}\r\n" + prose, "x" * 200_000, "&" * 100_000, "\u00a0", "\u200b \u3000\n", "".join(PROSE).replace(" the ", " the\n"), repeated]
+    assert {r["doc_id"] for r in quality.not_prose(docs(spark, texts), listed).collect()} == {4, 5, 6, 7, 10, 15}
+    rows = {r["doc_id"]: r for r in quality.judged(docs(spark, texts), listed).collect()}
     assert len(rows) == len(texts)
-    assert rows[0]["n_words"] == 0 and rows[0]["reasons"] == [] and rows[3]["reasons"] == []
-    assert rows[4]["kind"] == "list" and rows[5]["kind"] == "table" and rows[6]["kind"] == "junk"
-    assert rows[3]["punctuated_lines"] == 1.0
-    assert quality.not_prose(docs(spark, texts), words.limit(0)).count() == 0
-    assert quality.not_prose(docs(spark, []), words).count() == 0
-
-
-def test_word_pattern():
-    import re
-
-    p = re.compile(quality.word_pattern(["in", "into", "is", "it", "für"]).replace(r"\p{L}", "^\\W\\d_").replace("[^\\W\\d_\\d_]", "[\\w]"))
-    assert p.findall("in into is pit für its") == ["in", "into", "is", "für"]
+    assert rows[0]["n_words"] == 0 and rows[0]["reasons"] == [] and rows[3]["reasons"] == [] and rows[3]["punctuated_lines"] == 1.0
+    assert "bullet_lines" in rows[4]["reasons"] and "alpha_words" in rows[5]["reasons"] and "mean_word_length" in rows[6]["reasons"] and "prose_share" in rows[7]["reasons"] and "top_4gram" in rows[15]["reasons"]
+    assert rows[3]["n_words"] == len(prose.split()) and rows[3]["mean_word_length"] == pytest.approx(sum(map(len, prose.split())) / len(prose.split()))
+    assert rows[3]["stop_words"] == len({w.lower().strip(",.") for w in prose.split()} & set("the of and in is that it for a to have be with was".split()))
+    assert quality.not_prose(docs(spark, []), listed).count() == 0
+    assert "stop_words" not in {x for r in quality.judged(docs(spark, texts), listed.limit(0)).collect() for x in r["reasons"]}
+
+
+def test_quality_with_a_list_too_long_for_the_tasks(spark):
+    """A joined list of 6,000 words gives the same numbers as one that goes to the tasks."""
+    listed = spark.createDataFrame([("en", w) for w in "the of and in is that it for a".split()] + [("en", f"word{n}") for n in range(6000)], "lang string, word string")
+    texts = ["".join(PROSE), "word5 word6 The word5\n\\item the thing", None, "&&&", "Nothing here."]
+    inside, joined = ({r["doc_id"]: r.asDict() for r in quality.statistics(docs(spark, texts), listed, task_words=n).collect()} for n in (10_000, 100))
+    assert inside == joined and inside[1]["stop_words"] == 3 and inside[1]["common_share"] == pytest.approx(4 / 6)
