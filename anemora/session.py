@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only if it was counted and has at most so many rows; beyond that the join shuffles.
 BROADCAST_ROWS = 2_000_000
+#: Name under which the package's code goes to the workers.
+SHIPPED = "anemora_code.zip"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,11 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a new folder under /tmp where the session names none, as in tests."""
+    """The folder all executors share (spark.checkpoint.dir). Where the session names none: a new folder under /tmp in local mode, an error on a cluster."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         at = spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(at)
     return at
@@ -34,6 +41,24 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def shipped(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session; those of a cluster, or of another working folder, do not have it otherwise."""
+    sc = spark.sparkContext
+    if any(p.endswith(SHIPPED) for p in sc._python_includes):
+        return
+    root = Path(__file__).parent
+    code = io.BytesIO()
+    with zipfile.ZipFile(code, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    at = f"{scratch(spark, 'code')}/{SHIPPED}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(code.getvalue())
+    out.close()
+    sc.addPyFile(at)
+
+
 def written(df: DataFrame, what: str = "table") -> DataFrame:
     """The rows of df as a table in the shared folder: columnar, without lineage, read as often as needed."""
     at = scratch(df.sparkSession, what)
