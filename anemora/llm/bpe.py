@@ -19,6 +19,8 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anemora.session import shipped
+
 #: Folder of the public tokenizers' files.
 TOKENIZERS = "/opt/tokenizers"
 #: Pieces and cuts that a worker keeps; beyond it begins anew.
@@ -162,11 +164,11 @@ def encode_batches(path: str, rows: int = 2500):
             else:
                 cuts = pc.split_pattern(marked(texts), "\0")
                 coded = cuts.values.dictionary_encode()
-                if len(kept) > KEPT:
-                    kept.clear()
                 lists = []
                 for cut in coded.dictionary.to_pylist():
                     if (got := kept.get(cut)) is None:
+                        if len(kept) >= KEPT:
+                            kept.clear()
                         got = kept[cut] = bpe.encode(cut)
                     lists.append(got)
                 flat = np.fromiter(chain.from_iterable(lists), np.int32)
@@ -185,6 +187,7 @@ def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
 
     One row per input row. Special tokens' strings within a text are ordinary text. Extra columns are not kept.
     """
+    shipped(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = rows.mapInArrow(encode_batches(f"{tokenizers}/{name}.json"), f"id {kind}, ids array<int>")

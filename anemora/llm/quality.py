@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anemora.session import written
+from anemora.session import shipped, written
 
 #: Words of the list that go to the tasks themselves; a longer list is joined (see statistics).
 TASK_WORDS = 50_000
@@ -180,6 +180,7 @@ def statistics(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
     A list of at most task_words common words goes to the tasks. Of a longer one nothing does: the documents' different
     words are joined with it, which gives the same numbers.
     """
+    shipped(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     listed = words.select(F.lower("word").alias("word")).filter(F.col("word") != "").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from anemora.llm import bpe, contamination, quality
 
@@ -60,12 +61,55 @@ def test_accents_and_formulas(spark):
 
 
 def test_reparameterised(spark):
-    item = "A tank holds 120 km of pipe and each pipe carries 45 loads so after 45 loads the tank of 120 km must be filled again by the keeper of the pipe"
-    again = item.replace("120", "777").replace("45", "31")
-    mixed = item.replace("120", "777", 1).replace("45", "31")
+    """Copies, refilled templates, inconsistent refills and mere stock phrases."""
+    item = "The tank near Lyon holds 3.5 km of pipe and each pipe carries 45 loads so after 45 loads the tank of 3.5 km near Lyon must be filled again by the keeper of the long pipe"
+    again = item.replace("3.5", "777").replace("45", "31").replace("Lyon", "Gent").replace("km", "cm")
+    mixed = again.replace("777", "779", 1)
+    stock = f"{FILL} so after 45 loads the tank of 3.5 km must be found. {FILL}"
     items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
-    got = {r["doc_id"]: r["refilled"] for r in contamination.reparameterised(docs(spark, [item, again, mixed]), items).collect()}
-    assert set(got) == {1} and got[1] == 4
+    rows = docs(spark, [item, again, mixed, stock, f"{FILL} {again} {FILL}", item.upper()])
+    got = {r["doc_id"]: r["refilled"] for r in contamination.reparameterised(rows, items).collect()}
+    assert got == {1: 8, 4: 8}
+    assert {r["doc_id"] for r in contamination.leaked(rows, items).collect()} == {0, 5}
+
+
+def test_templates():
+    import pyarrow as pa
+
+    x = contamination.Texts(pa.array(["In Mai the Rhine rose by 3.5 km per h and 12 W m2, then the Rhine fell", None, "a 1,5 kg"]))
+    n, u, m = contamination.NUMBER, contamination.UNIT, contamination.NAME
+    assert x.kinds.tolist() == [0, 0, 0, m, 0, 0, n, u, 0, 0, 0, n, u, u, 0, 0, m, 0, 0, n, u]
+    assert x.ends.tolist() == [0, 18, 18, 21]
+    german = contamination.Texts(pa.array(["die Stadt und der Fluss sah den Herrn Anton Meier und die Brücke am Abend"]))
+    assert german.kinds.tolist() == [0] * 7 + [m] * 3 + [0] * 5
+
+
+def test_least_windows(spark):
+    rows = spark.range(1, 300).select(F.col("id").cast("int").alias("n")).select("n", contamination._least(F.col("n")).alias("least")).collect()
+    assert all(r["least"] == contamination.least_windows(r["n"]) for r in rows)
+
+
+def test_leaked_among_very_many_items(spark):
+    """30,000 items that share a stock phrase; the windows are joined by shuffle."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    texts = [f"{' '.join(word() for _ in range(14))} as it has been shown in the last report on the matter {' '.join(word() for _ in range(14))}" for _ in range(30_000)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    asked = [f"{FILL} as it has been shown in the last report on the matter {FILL}"] + [f"{FILL} {texts[n]} {FILL}" for n in (0, 17, 29_999)]
+    for limit in (0, contamination.BROADCAST_WINDOWS):
+        got = sorted(tuple(r) for r in contamination.leaked(docs(spark, asked), items, broadcast_windows=limit).collect())
+        assert got == [(1, 0), (2, 17), (3, 29_999)]
+
+
+def test_sketch_lets_every_window_through(spark):
+    import numpy as np
+
+    h = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
+    for bits in (10, contamination.SKETCH_BITS):
+        table = contamination.sketch(spark.createDataFrame([(int(x),) for x in h], "h bigint"), bits)
+        assert len(table) == 2**bits // 8 and contamination._in_sketch(table, h, bits).all()
+    other = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 5000)
+    assert contamination._in_sketch(table, other).mean() < 0.01
 
 
 def test_alignment_against_plain_edit_counts():
