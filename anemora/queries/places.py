@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from anemora.operators import events, gridmatch, stations as S
-from anemora.operators.percentile_sketch import latest
+from anemora.operators.rows import latest
 from anemora.plans import pipelines
 from anemora.queries.views import cells, cube, monthly_cube, obs, plausible, sql, stations
 from anemora.queries.weather import CONDITIONS, PLAIN, TIE, _flag
@@ -330,7 +330,7 @@ CELL = ["tech", "lat_idx", "lon_idx"]
 
 
 def _computed(spark, d):
-    v = latest(table(spark, d, "threshold_clim"), [*CELL, "run_day", "month_no", "hour_no"]).filter(F.col("clim").isNotNull() & ~F.isnan("clim"))
+    v = latest(table(spark, d, "threshold_clim"), [*CELL, "run_day", "month_no", "hour_no"], "clim", "loaded_at").filter(F.col("clim").isNotNull() & ~F.isnan("clim"))
     return v.groupBy(*CELL).agg(F.round(F.percentile(F.col("clim").cast("double"), F.lit(0.05)), 6).alias("threshold"), F.count(F.lit(1)).alias("valid_count"))
 
 

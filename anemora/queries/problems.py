@@ -1,10 +1,10 @@
-"""Queries of the data-preparation operators that are not about text (problems 1 to 5)."""
+"""Queries of the data-preparation operators that are not tagged llm (problems 1, 2, 3 and 5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from anemora.operators import compaction, percentile_sketch, region_match, spikes, unit_model
+from anemora.operators import compaction, region_match, spikes, unit_model
 from anemora.session import scratch, table
 
 
@@ -39,17 +39,6 @@ def p3_unstated(spark, d):
     return done.filter(F.col("unit_source") == "classifier").select("row_id", "var_name", "code", "factor", "confidence", "route", "canonical")
 
 
-def p4_found(spark, d):
-    return percentile_sketch.wrong_thresholds(table(spark, d, "threshold_clim"), table(spark, d, "threshold_grid"))
-
-
-def p4_percentiles(spark, d):
-    """Percentiles of every cell, from the combined sketches of its days."""
-    key = [*percentile_sketch.CELL, "run_day", "month_no", "hour_no"]
-    days = percentile_sketch.day_sketches(percentile_sketch.latest(table(spark, d, "threshold_clim"), key))
-    return percentile_sketch.percentiles(percentile_sketch.merged(days), [0.05, 0.1, 0.5, 0.9])
-
-
 def p5_found(spark, d):
     return spikes.found(table(spark, d, "weather_hourly"))
 
@@ -64,7 +53,7 @@ def p5_coverage(spark, d):
     return spikes.coverage(table(spark, d, "weather_hourly"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_compacted_files, p3_found, p3_unstated, p4_found, p4_percentiles, p5_found, p5_reasons, p5_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_compacted_files, p3_found, p3_unstated, p5_found, p5_reasons, p5_coverage)}
 
 GAP = "abs((((({a}) - ({b}) + 180) % 360) + 360) % 360 - 180)"
 LON_GAP = GAP.format(a="lo.lon", b="s.lon")
@@ -108,16 +97,6 @@ select file_id, cast(line_no as int) as line_no from h where station is not null
 qualify row_number() over (partition by cache, station, hour order by written_at desc nulls last, file_id desc, line_no desc) = 1
 """
 
-P4_SQL = """
-with v as (
-  select tech, lat_idx, lon_idx, run_day, month_no, hour_no, arg_max(clim, loaded_at) as clim from threshold_clim
-  where clim is not null and not isnan(clim) group by all),
-g as (select distinct tech, lat_idx, lon_idx, pctl, threshold from threshold_grid where threshold is not null),
-s as (select g.tech, g.lat_idx, g.lon_idx, g.pctl, g.threshold, avg(case when clim <= threshold then 1.0 else 0.0 end) as share
-  from g join v using (tech, lat_idx, lon_idx) group by all)
-select distinct tech, lat_idx, lon_idx, pctl from s where abs(share - pctl / 100.0) > 0.02
-"""
-
 P5_PARTS = """
 with h as (
   select obs_id, station_id, t, arg_max({'i': irradiance_wm2, 'p': precip_mmh}, received_at) as v from weather_hourly group by obs_id, station_id, t),
@@ -136,4 +115,4 @@ f as (select obs_id, var_name, 'impossible' as reason from y where case when var
 """
 P5_SQL = P5_PARTS + "select distinct obs_id, var_name from f"
 
-ORACLES = {"p1_found": P1_SQL, "p1_distances": P1_DISTANCES, "p2_found": P2_SQL, "p2_compacted_files": "select file_id, path, n_bytes from station_cf_cache", "p4_found": P4_SQL, "p5_found": P5_SQL, "p5_reasons": P5_PARTS + "select obs_id, var_name, reason from f"}
+ORACLES = {"p1_found": P1_SQL, "p1_distances": P1_DISTANCES, "p2_found": P2_SQL, "p2_compacted_files": "select file_id, path, n_bytes from station_cf_cache", "p5_found": P5_SQL, "p5_reasons": P5_PARTS + "select obs_id, var_name, reason from f"}
