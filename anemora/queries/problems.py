@@ -39,6 +39,11 @@ def p3_unstated(spark, d):
     return done.filter(F.col("unit_source") == "classifier").select("row_id", "var_name", "code", "factor", "confidence", "route", "canonical")
 
 
+def p3_held_out(spark, d):
+    """Accuracy, coverage and calibration of the classifier on stated units that were hidden from it."""
+    return unit_model.held_out(table(spark, d, "weather_bundle"), table(spark, d, "weather_attrs"))
+
+
 def p5_found(spark, d):
     return spikes.found(table(spark, d, "weather_hourly"))
 
@@ -53,7 +58,7 @@ def p5_coverage(spark, d):
     return spikes.coverage(table(spark, d, "weather_hourly"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_compacted_files, p3_found, p3_unstated, p5_found, p5_reasons, p5_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_compacted_files, p3_found, p3_unstated, p3_held_out, p5_found, p5_reasons, p5_coverage)}
 
 GAP = "abs((((({a}) - ({b}) + 180) % 360) + 360) % 360 - 180)"
 LON_GAP = GAP.format(a="lo.lon", b="s.lon")
