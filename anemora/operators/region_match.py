@@ -2,8 +2,10 @@
 
 Every region's reach is covered by square cells of several sizes. A cell is *interior* when one grid point is the
 answer for every place in it, and *boundary* when several grid points (or none) may be. Boundary cells are halved
-until the finest size. Locations meet the cover by an equi-join on (level, cell): an interior cell gives the grid
-point at once, a boundary cell's few candidates are measured exactly. No location is compared with a whole grid.
+once, and again as long as more than LEAVE candidates are left in them. Locations meet the cover by an equi-join on
+(level, cell): an interior cell gives the grid point at once, a boundary cell's few candidates are measured exactly. No
+location is compared with a whole grid. A cover too large to be broadcast stands under SALTS keys a cell, so that a cell
+with a third of all locations is several tasks' work.
 
 Nulls, impossible coordinates: a location without usable coordinates has no row in the result. Cells sent twice and
 repeated locations count once. Empty inputs give an empty result. Extra columns of either input are not used.
@@ -16,10 +18,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anemora.session import small, written
+from anemora.session import written
 
-#: Cell sizes in degrees, coarse to fine; each divides the one before it and 360.
-CELL_SIZES = (0.1, 0.05)
+#: Size of the coarsest cells in degrees; it divides 360, and every further level halves it.
+CELL_SIZE = 0.1
+#: Halvings at most, and candidates up to which a cell that was halved once is left as it is.
+DEPTH = 6
+LEAVE = 4
+SALTS = 8
 MAX_DIST = 0.2
 #: Cells of a cover that are broadcast, at most; a cell takes some 300 bytes.
 COVER_ROWS = 300_000
@@ -93,8 +99,8 @@ def _reach(points: DataFrame, max_dist: float) -> DataFrame:
     return out.select(*points.columns, *[F.least(F.when(rotated, both).otherwise(F.col(f"gap{n}") / 2) + EPS, F.lit(max_dist)).alias(f"reach{n}") for n in (0, 1)])
 
 
-def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...] = CELL_SIZES, occupied: DataFrame | None = None) -> DataFrame:
-    """The cells of every region's reach: level, ci, cj, region, kind, interior, near (candidates, one if interior).
+def cover(grid: DataFrame, max_dist: float = MAX_DIST, size: float = CELL_SIZE, occupied: DataFrame | None = None, leave: int = LEAVE, depth: int = DEPTH) -> tuple[DataFrame, list[float]]:
+    """The cells of every region's reach (level, ci, cj, region, kind, interior, near: candidates, one if interior) and the sizes of the levels.
 
     Only in the coarsest cells (ci, cj) of `occupied`, if given.
     """
@@ -104,7 +110,7 @@ def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...]
         .withColumn("lon", F.pmod(F.col("lon") + 180.0, F.lit(360.0)) - 180.0)
         .distinct()
     )
-    s0 = sizes[0]
+    s0 = size
     span = lambda x, low, reach: F.sequence(*[F.floor((F.col(x) + low + d * F.col(reach)) / s0).cast("int") for d in (-1, 1)])
     pairs = (
         _reach(points, max_dist)
@@ -115,21 +121,23 @@ def cover(grid: DataFrame, max_dist: float = MAX_DIST, sizes: tuple[float, ...]
     )
     if occupied is not None:
         pairs = pairs.join(occupied, ["ci", "cj"], "left_semi")
-    out = []
-    for level, size in enumerate(sizes):
-        cells = written(_classify(pairs, size, max_dist).withColumn("level", F.lit(level)), "cover")
-        last = level == len(sizes) - 1
-        out.append(cells if last else cells.filter("interior"))
-        if not last:
-            k = round(size / sizes[level + 1])
-            pairs = (
-                cells.filter("not interior")
-                .select("region", "kind", "ci", "cj", F.explode("near").alias("p"))
-                .select("region", "kind", "p.idx0", "p.idx1", "p.lat", "p.lon", "ci", "cj")
-                .withColumn("ci", F.explode(F.sequence(F.col("ci") * k, F.col("ci") * k + k - 1)))
-                .withColumn("cj", F.explode(F.sequence(F.col("cj") * k, F.col("cj") * k + k - 1)))
-            )
-    return reduce(DataFrame.unionByName, out).select("level", "ci", "cj", "region", "kind", "interior", "near")
+    out, sizes = [], [size]
+    for level in range(depth + 1):
+        cells = written(_classify(pairs, sizes[-1], max_dist).withColumn("level", F.lit(level)), "cover")
+        halve = ~F.col("interior") & (F.size("near") > (leave if level else 0))
+        if level == depth or not cells.filter(halve).limit(1).count():
+            out.append(cells)
+            break
+        out.append(cells.filter(~halve))
+        pairs = (
+            cells.filter(halve)
+            .select("region", "kind", "ci", "cj", F.explode("near").alias("p"))
+            .select("region", "kind", "p.idx0", "p.idx1", "p.lat", "p.lon", "ci", "cj")
+            .withColumn("ci", F.explode(F.array(F.col("ci") * 2, F.col("ci") * 2 + 1)))
+            .withColumn("cj", F.explode(F.array(F.col("cj") * 2, F.col("cj") * 2 + 1)))
+        )
+        sizes.append(sizes[-1] / 2)
+    return reduce(DataFrame.unionByName, out).select("level", "ci", "cj", "region", "kind", "interior", "near"), sizes
 
 
 def nearest_in_regions(
@@ -137,23 +145,27 @@ def nearest_in_regions(
     grid: DataFrame,
     id_col: str = "match_id",
     max_dist: float = MAX_DIST,
-    sizes: tuple[float, ...] = CELL_SIZES,
+    size: float = CELL_SIZE,
     broadcast_rows: int = COVER_ROWS,
 ) -> DataFrame:
     """(id, region, idx0, idx1, dist_deg, interior): the nearest grid point of every region within max_dist of a place.
 
     The cover is made where there are places, and grows with the grid, never with the places. It is counted and broadcast
-    only up to broadcast_rows; beyond that the join shuffles, and the engine splits a crowded cell's skewed partition.
+    only up to broadcast_rows; beyond that the join shuffles by cell and salt.
     """
     rows = places.select(F.col(id_col).alias("id"), F.col("lat").cast("double").alias("plat"), F.col("lon").cast("double").alias("plon"))
     rows = rows.filter(usable(F.col("plat"), F.col("plon")) & F.col("id").isNotNull())
     at = rows.groupBy("id").agg(F.min(F.struct("plat", "plon")).alias("at")).select("id", F.col("at.plat").alias("plat"), F.col("at.plon").alias("plon"))
-    ci, cj = _cell_ids(sizes[0], F.col("plat"), F.col("plon"))
+    ci, cj = _cell_ids(size, F.col("plat"), F.col("plon"))
     occupied = rows.select(ci.alias("ci"), cj.alias("cj")).distinct()
-    cells = cover(grid, max_dist, sizes, occupied)
+    cells, sizes = cover(grid, max_dist, size, occupied)
     keys = F.array(*[F.struct(F.lit(n).alias("level"), *[c.alias(a) for c, a in zip(_cell_ids(s, F.col("plat"), F.col("plon")), ("ci", "cj"))]) for n, s in enumerate(sizes)])
     at = at.withColumn("key", F.explode(keys)).select("id", "plat", "plon", "key.level", "key.ci", "key.cj")
-    joined = at.join(small(cells, cells.count(), broadcast_rows), ["level", "ci", "cj"])
+    if cells.count() <= broadcast_rows:
+        joined = at.join(F.broadcast(cells), ["level", "ci", "cj"])
+    else:
+        salted = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = at.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, ["level", "ci", "cj", "salt"])
 
     def measure(p: Column) -> Column:
         a, b = F.abs(p["lat"] - F.col("plat")), lon_gap(p["lon"], F.col("plon"))

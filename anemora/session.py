@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 #: Name under which the package's code goes to the workers.
 SHIPPED = "anemora_code.zip"
+_scratch: dict[str, list[str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +39,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, what: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(at)
+    return at
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to scratch paths; results that read from there are of no use afterwards."""
+    for at in _scratch.pop(spark.sparkContext.applicationId, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shipped(spark: SparkSession) -> None:

@@ -55,6 +55,23 @@ def test_nearest_in_regions(spark, broadcast_rows):
     assert set(got) == brute(places + crowd, cells)
 
 
+def test_crowded_cell_and_fine_grid(spark):
+    """Half of all places in one cell, joined by shuffle; a grid so fine that cells are halved several times."""
+    fine = [("F", "rotated_pole", i, j, 50 + i * 0.011 + j * 0.001, 1 + j * 0.011) for i in range(30) for j in range(30)]
+    rng = random.Random(3)
+    places = [(n, 50.2051, 1.1 + n * 1e-9) if n % 2 else (n, rng.uniform(49.9, 50.5), rng.uniform(0.8, 1.5)) for n in range(2000)]
+    df = spark.createDataFrame(places, "match_id bigint, lat double, lon double")
+    grid = spark.createDataFrame(fine, "region string, grid_kind string, idx0 int, idx1 int, lat double, lon double")
+    cells, sizes = region_match.cover(grid)
+    assert len(sizes) > 3 and cells.filter("level = 0 and not interior").count() == 0
+    assert cells.filter(f"size(near) > {region_match.LEAVE} and level < {region_match.DEPTH}").count() == 0
+    plain, salted = (sorted(map(tuple, region_match.nearest_in_regions(df, grid, broadcast_rows=n).drop("interior").collect())) for n in (10**9, 0))
+    assert plain == salted and len(plain) > 1000
+    for i, lat, lon in places[:200]:
+        d, i0, i1 = min((round(math.hypot(c[4] - lat, c[5] - lon), 9), c[2], c[3]) for c in fine)
+        assert [(r[2], r[3]) for r in plain if r[0] == i] == ([(i0, i1)] if d <= 0.2 else [])
+
+
 def test_nearest_in_regions_empty(spark):
     grid = spark.createDataFrame(grids(), "region string, grid_kind string, idx0 int, idx1 int, lat double, lon double")
     none = spark.createDataFrame([], "match_id bigint, lat double, lon double")
