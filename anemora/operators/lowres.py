@@ -1,9 +1,12 @@
 """Low-resource events: centred daily mean, month-by-hour climatology, anomaly, low percentile per station.
 
-All windows and aggregates are keyed by the station, so one exchange serves them; the climatology and the thresholds
-come back by joins that the engine may broadcast. Rolling is by position in time order. A window with a missing value
-or without its full length has no mean, an hour without mean no anomaly, and neither has a signal. Stations with equal
-times must have been made unique before. An empty series gives empty results.
+Rolled means, climatology, anomalies, thresholds and marks are windows of one station, so that one exchange by station
+serves them all and nothing is worked out twice. A station's series is bounded by its hours (8,766 a year), however
+many readings they come from; those are averaged by hour before, with stations split by hour.
+
+Rolling is by position in time order. A window with a missing value or without its full length has no mean, an hour
+without mean no anomaly, and neither has a signal. Stations with equal times must have been made unique before. An empty
+series gives empty results.
 """
 
 from __future__ import annotations
@@ -52,10 +55,9 @@ def thresholds(anoms: DataFrame, station: str = "station", percent: float = PERC
     return anoms.groupBy(station).agg(F.percentile("anom", F.lit(percent)).alias("threshold"), F.count("anom").alias("valid_count"))
 
 
-def mark(anoms: DataFrame, thr: DataFrame, station: str = "station", mark_next: bool = True, night: Column | None = None) -> DataFrame:
-    """anoms with low_resource: at or below the threshold, or right after such a step; never without anomaly or at night."""
-    hit = F.coalesce(F.col("anom") <= F.col("threshold"), F.lit(False))
-    out = anoms.join(thr.select(station, "threshold"), station, "left").withColumn("hit", hit)
+def mark(anoms: DataFrame, station: str = "station", mark_next: bool = True, night: Column | None = None) -> DataFrame:
+    """anoms (with threshold) with low_resource: at or below the threshold, or right after such a step; never without anomaly or at night."""
+    out = anoms.withColumn("hit", F.coalesce(F.col("anom") <= F.col("threshold"), F.lit(False)))
     low = F.col("hit")
     if mark_next:
         low = low | F.coalesce(F.lag("hit").over(Window.partitionBy(station).orderBy("t")), F.lit(False))
@@ -65,6 +67,22 @@ def mark(anoms: DataFrame, thr: DataFrame, station: str = "station", mark_next:
     return out.withColumn("low_resource", low.cast("tinyint")).drop("hit")
 
 
+def _in(column: str | Column, years: tuple[int, int] | None) -> Column:
+    x = F.col(column) if isinstance(column, str) else column
+    return F.when(F.year("t").between(*years), x) if years else x
+
+
+def own_anomalies(rolled: DataFrame, station: str = "station", years: tuple[int, int] | None = None, digits: int = 9) -> DataFrame:
+    """anomalies() against the climatology of the series itself, as a window in place of a join."""
+    cell = Window.partitionBy(station, F.month("t"), F.hour("t"))
+    return rolled.withColumn("anom", F.round(F.col("roll") - F.avg(_in("roll", years)).over(cell), digits))
+
+
+def own_thresholds(anoms: DataFrame, station: str = "station", years: tuple[int, int] | None = None, percent: float = PERCENT) -> DataFrame:
+    """anoms with the threshold of each station's own anomalies, as a window in place of a join."""
+    return anoms.withColumn("threshold", F.percentile(_in("anom", years), F.lit(percent)).over(Window.partitionBy(station)))
+
+
 def low_resource(
     series: DataFrame,
     station: str = "station",
@@ -79,6 +97,6 @@ def low_resource(
 ) -> DataFrame:
     """series (station, t, v) with anom, threshold and low_resource; climatology and thresholds are its own unless given."""
     rolled = (rolling if kernel == "current" else rolling_v1)(series, steps, station=station)
-    anoms = anomalies(rolled, climatology(rolled, station, baseline) if clim is None else clim, station)
-    based = anoms.filter(F.year("t").between(*baseline)) if baseline else anoms
-    return mark(anoms, thresholds(based, station, percent) if thr is None else thr, station, mark_next, night)
+    anoms = own_anomalies(rolled, station, baseline) if clim is None else anomalies(rolled, clim, station)
+    known = own_thresholds(anoms, station, baseline, percent) if thr is None else anoms.join(thr.select(station, "threshold"), station, "left")
+    return mark(known, station, mark_next, night)

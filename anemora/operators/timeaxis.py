@@ -44,6 +44,17 @@ def hourly_axis(df: DataFrame, station: str = "station") -> DataFrame:
     return ends.select(station, F.explode(F.expr("sequence(a, b, interval 1 hour)")).alias("t"))
 
 
+def filled(df: DataFrame, value: str = "v", station: str = "station") -> DataFrame:
+    """Hourly rows (station, t, value), each once, with the missing hours between a station's first and last as rows without value.
+
+    The same as align() on hourly_axis(), by one window in place of a second reading and a join.
+    """
+    last = F.coalesce(F.lead("t").over(Window.partitionBy(station).orderBy("t")) - F.expr("interval 1 hour"), F.col("t"))
+    hours = F.expr("sequence(t, last, interval 1 hour)")
+    out = df.select(station, "t", value).withColumn("last", last).select(station, value, F.col("t").alias("own"), F.explode(hours).alias("t"))
+    return out.select(station, "t", F.when(F.col("t") == F.col("own"), F.col(value)).alias(value))
+
+
 def align(df: DataFrame, axis: DataFrame, value: str = "v", station: str = "station", order: str | None = None) -> DataFrame:
     """axis with the value at exactly its times, null where there is none; of several the last by order (else the largest)."""
     pick = F.max_by(value, order) if order else F.max(value)

@@ -15,7 +15,7 @@ def precompute_thresholds(series: DataFrame, station: str = "station", steps: in
         series = series.join(known.select(station).distinct(), station, "left_anti")
     rolled = lowres.rolling(series, steps, station=station)
     clim = lowres.climatology(rolled, station, baseline)
-    anoms = lowres.anomalies(rolled, clim, station)
+    anoms = lowres.own_anomalies(rolled, station, baseline)
     if baseline:
         anoms = anoms.filter(F.year("t").between(*baseline))
     return clim, lowres.thresholds(anoms, station)
@@ -45,8 +45,8 @@ def station_signals(weather: DataFrame, stations: DataFrame, cells: DataFrame, t
     match = gridmatch.nearest_regular(stations, cells, "station", max_dist).unionByName(on_2d)  # the join keeps each site's own region, which is of one kind
     sites = stations.join(match, ["station", "region"], "left")
     resource = F.col("wind_ms") if tech == "wind" else F.col("rsds")
-    low = lowres.low_resource(weather.select("station", "t", resource.cast("double").alias("v")))
-    rows = events.with_signals(weather, tech).join(low.select("station", "t", F.col("low_resource").alias("signal_low_resource")), ["station", "t"]).join(sites, "station")
+    low = lowres.low_resource(weather.withColumn("v", resource.cast("double"))).withColumnRenamed("low_resource", "signal_low_resource")
+    rows = events.with_signals(low, tech).join(sites, "station")
     if tech == "solar":
         night = solar_elevation(F.col("lat"), F.col("lon"), F.col("t")) <= 0
         rows = rows.withColumn("signal_low_resource", F.when(night, F.lit(0)).otherwise(F.col("signal_low_resource")).cast("tinyint"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from anemora.operators import events, gridmatch, stations as S
 from anemora.operators.rows import latest
 from anemora.plans import pipelines
-from anemora.queries.views import cells, cube, monthly_cube, obs, plausible, sql, stations
+from anemora.queries.views import cells, cube, hourly, monthly_cube, obs, sites, sql, stations
 from anemora.queries.weather import CONDITIONS, PLAIN, TIE, _flag
 from anemora.session import table
 from anemora.sources import readers, sinks
@@ -384,7 +384,7 @@ MASKED = """k as (select o.obs_id, o.temp_c, o.wind_ms, o.precip_mmh, o.rh_pct,
 select obs_id, """ + ", ".join(f"case when year(t) + 20 >= y then {_flag(CONDITIONS['solar_' + e])} else 0 end as {e}" for e in ("freezing_rain", "rainstorm", "high_humidity", "cold_highwind", "icing")) + " from k"))
 def evt_masked(spark, d):
     """Solar events of sites, counted from their activation on (20 years ahead)."""
-    rows = events.with_signals(obs(spark, d).drop("dust_aod"), "solar").join(_sites(spark, d, "solar"), "station")
+    rows = events.with_signals(obs(spark, d).drop("dust_aod"), "solar").join(sites(spark, d, "solar"), "station")
     out = events.masked(rows, F.year("t") + 20 >= F.col("activation_year"))
     return out.select("obs_id", *[F.col(f"signal_{e}").cast("int").alias(e) for e in ("freezing_rain", "rainstorm", "high_humidity", "cold_highwind", "icing")])
 
@@ -394,18 +394,9 @@ def evt_masked(spark, d):
 SITES = """site as (select substr(station_id, 1, 3) as p, min({{'m': station, 'region': region, 'lat': lat, 'lon': lon, 'y': activation_year}}) as s from stations where tech = '{tech}' and region is not null group by 1)"""
 
 
-def _sites(spark, d, tech):
-    """A site for each weather station: the first match record whose id begins like the station's."""
-    s = placed(spark, d).filter(F.col("tech") == tech)
-    site = s.groupBy(F.substring("station_id", 1, 3).alias("p")).agg(F.min(F.struct("station", "region", "lat", "lon", "activation_year")).alias("s"))
-    w = obs(spark, d).select("station").distinct().withColumn("p", F.substring("station", 1, 3))
-    return w.join(site, "p").select("station", "s.region", "s.lat", "s.lon", "s.activation_year")
-
-
 def _signals(spark, d, tech, grids):
     columns = {"wind": ("temp_c", "wind_ms", "rh_pct"), "solar": ("temp_c", "wind_ms", "precip_mmh", "rh_pct", "rsds", "dust_aod")}[tech]
-    h = obs(spark, d).withColumn("t", F.date_trunc("hour", "t").cast("timestamp_ntz")).groupBy("station", "t").agg(*[F.round(F.avg(plausible(c)), 6).alias(c) for c in columns])
-    out = pipelines.station_signals(h, _sites(spark, d, tech), grids, tech, ahead=20)
+    out = pipelines.station_signals(hourly(spark, d, *columns), sites(spark, d, tech), grids, tech, ahead=20)
     return out.select("station", "t", *[F.col(c).cast("int").alias(c[len("signal_"):]) for c in out.columns if c.startswith("signal_")])
 
 

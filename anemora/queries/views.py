@@ -6,16 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anemora.functions.weather import finite, lon_180
-from anemora.operators import unit_model
+from anemora.operators import timeaxis, unit_model
+from anemora.operators.rows import latest_rows
 from anemora.session import small, table, written
 
 VARS = ("temp_c", "wind_ms", "precip_mmh", "irradiance_wm2", "rh_pct", "dust_aod")
 
 
-def obs(spark: SparkSession, d: str) -> DataFrame:
-    """weather_hourly, each reading once, NaN as null."""
-    rows = table(spark, d, "weather_hourly").dropDuplicates(["obs_id"])
-    return rows.select("obs_id", F.col("station_id").alias("station"), "t", *[finite(F.col(v)).alias("rsds" if v == "irradiance_wm2" else v) for v in VARS])
+def obs(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """weather_hourly, each reading once (the latest received), NaN as null; only some of its values if columns are named.
+
+    Rows are dealt out by station and hour, so that what is next averaged by those needs no further exchange.
+    """
+    names = {("rsds" if v == "irradiance_wm2" else v): v for v in VARS}
+    values = [names[c] for c in columns] or list(VARS)
+    hour = F.date_trunc("hour", "t").cast("timestamp_ntz")
+    rows = table(spark, d, "weather_hourly").select("obs_id", "station_id", "t", "received_at", *values, hour.alias("hour"))
+    rows = latest_rows(rows.repartition("station_id", "hour"), ["station_id", "hour", "t", "obs_id"], values, "received_at")
+    return rows.select("obs_id", F.col("station_id").alias("station"), "t", "hour", *[finite(F.col(v)).alias(k) for k, v in names.items() if v in values])
 
 
 def plausible(value: str):
@@ -27,21 +35,32 @@ def plausible(value: str):
 PLAUSIBLE = {"rsds": "case when rsds > 1361 then 0.0 when rsds >= -5 then rsds end", "precip_mmh": "case when precip_mmh between 0 and 300 then precip_mmh end"}
 
 
+def hourly(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """(station, t, columns): hourly means of plausible readings."""
+    rows = obs(spark, d, *columns).groupBy("station", "hour").agg(*[F.round(F.avg(plausible(c)), 6).alias(c) for c in columns])
+    return rows.withColumnRenamed("hour", "t")
+
+
 def panel(spark: SparkSession, d: str, value: str = "wind_ms") -> DataFrame:
     """(station, t, v): hourly means on each station's full hourly axis."""
-    from anemora.operators import timeaxis
-
-    hourly = obs(spark, d).groupBy("station", F.date_trunc("hour", "t").cast("timestamp_ntz").alias("t")).agg(F.round(F.avg(plausible(value)), 6).alias("v"))
-    return timeaxis.align(hourly, timeaxis.hourly_axis(hourly))
+    return timeaxis.filled(hourly(spark, d, value).withColumnRenamed(value, "v"))
 
 
 def stations(spark: SparkSession, d: str) -> DataFrame:
     """station_match, each record once, with usable coordinates."""
-    rows = table(spark, d, "station_match").dropDuplicates(["match_id"])
+    rows = table(spark, d, "station_match").dropDuplicates()  # a record sent twice is the same in all columns
     ok = (F.abs("lat") <= 90) & (F.abs("lon") <= 540)
     return rows.filter(ok).select(F.col("match_id").alias("station"), "station_id", "scenario", "tech", "activation_year", "capacity_gw", lon_180(F.col("lon")).alias("lon"), "lat", "region")
 
 
+def sites(spark: SparkSession, d: str, tech: str) -> DataFrame:
+    """(station, region, lat, lon, activation_year): a site for each weather station, the first match record whose id begins like the station's."""
+    s = stations(spark, d).filter((F.col("tech") == tech) & F.col("region").isNotNull())
+    site = s.groupBy(F.substring("station_id", 1, 3).alias("p")).agg(F.min(F.struct("station", "region", "lat", "lon", "activation_year")).alias("s"))
+    w = table(spark, d, "weather_hourly").select(F.col("station_id").alias("station")).distinct().withColumn("p", F.substring("station", 1, 3))
+    return w.join(site, "p").select("station", "s.region", "s.lat", "s.lon", "s.activation_year")
+
+
 def cells(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "grid_cell").distinct()
 
@@ -84,6 +103,7 @@ panel as (select axis.station, axis.t, hourly.v from axis left join hourly on ho
     "stations": """stations as (
   select distinct match_id as station, station_id, scenario, tech, activation_year, capacity_gw, (((lon + 180) % 360) + 360) % 360 - 180 as lon, lat, region
   from station_match where abs(lat) <= 90 and abs(lon) <= 540)""",
+    "site": """site as (select substr(station_id, 1, 3) as p, min({{'m': station, 'region': region, 'lat': lat, 'lon': lon, 'y': activation_year}}) as s from stations where tech = 'solar' and region is not null group by 1)""",
     "cells": "cells as (select distinct region, grid_kind, idx0, idx1, lat, lon from grid_cell)",
     "cube": """days as (select region, date_trunc('month', t) as t, count(distinct row_id) as n from weather_bundle where var_name = 'tas' and region is not null group by 1, 2),
 firsts as (select region, t, n from days qualify row_number() over (partition by region order by t) = 1),
@@ -92,6 +112,6 @@ cube as (select c.region, c.idx0, c.idx1, s.t, case when (c.idx0 + c.idx1) % 7 <
 
 
 def sql(*names: str, body: str, value: str = "wind_ms") -> str:
-    """A query over some of the views; the panel needs obs, the cube needs cells."""
-    need = [n for n in CTE if n in names or (n == "obs" and "panel" in names) or (n == "cells" and "cube" in names)]
+    """A query over some of the views; the panel needs obs, the cube needs cells, site needs stations."""
+    need = [n for n in CTE if n in names or (n == "obs" and "panel" in names) or (n == "cells" and "cube" in names) or (n == "stations" and "site" in names)]
     return "with " + ",\n".join(CTE[n].format(value=PLAUSIBLE.get(value, value)) for n in need) + ("\n" if body.startswith("select") else ",\n") + body

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from anemora.functions import weather as W
 from anemora.operators import events, lowres, timeaxis
-from anemora.queries.views import obs, panel, sql, stations
+from anemora.queries.views import obs, panel, sites, sql, stations
 from anemora.session import table
 
 QUERIES: dict = {}
@@ -90,10 +90,11 @@ k as (select *, 0.006918::double - 0.399912::double * cos(g) + 0.070257::double
 sun as (select obs_id, degrees(asin(least(greatest(sin(radians(lat)) * sin(dec) + cos(radians(lat)) * cos(dec) * cos(radians((m + eot + 4 * lon) / 4 - 180)), -1), 1))) as elevation from k)"""
 
 
-@query(sql("obs", body=SUN.format(lat="50.0::double", lon="10.0::double", src="obs") + "\nselect obs_id, round(elevation, 6) as elevation from sun"))
+@query(sql("obs", "site", body=SUN.format(lat="site.s.lat", lon="site.s.lon", src="obs join site on site.p = substr(obs.station, 1, 3)") + "\nselect obs_id, round(elevation, 6) as elevation from sun"))
 def solar_elevation(spark, d):
-    """Height of the sun over 50°N 10°E at every reading."""
-    return obs(spark, d).select("obs_id", F.round(W.solar_elevation(F.lit(50.0), F.lit(10.0), F.col("t")), 6).alias("elevation"))
+    """Height of the sun over a station's site at every reading."""
+    rows = obs(spark, d, "rsds").join(sites(spark, d, "solar"), "station")
+    return rows.select("obs_id", F.round(W.solar_elevation(F.col("lat"), F.col("lon"), F.col("t")), 6).alias("elevation"))
 
 
 @query(sql("stations", body="""select station, round(2 * 6371.0088::double * asin(sqrt(least(power(sin(radians(lat - 50.0) / 2), 2) + cos(radians(50.0::double)) * cos(radians(lat)) * power(sin(radians(lon - 10.0) / 2), 2), 1))), 4) as km from stations"""))
@@ -218,7 +219,7 @@ def lowres_clim288(spark, d):
 @query(_lowres_sql(*PLAIN[:4], end="select station, round(threshold, 6) as threshold, valid_count from p"))
 def lowres_thresholds(spark, d):
     rolled = lowres.rolling(panel(spark, d))
-    return lowres.thresholds(lowres.anomalies(rolled, lowres.climatology(rolled))).select("station", F.round("threshold", 6).alias("threshold"), "valid_count")
+    return lowres.thresholds(lowres.own_anomalies(rolled)).select("station", F.round("threshold", 6).alias("threshold"), "valid_count")
 
 
 @query(_lowres_sql(*PLAIN))
@@ -226,13 +227,12 @@ def lowres_wind(spark, d):
     return lowres.low_resource(panel(spark, d)).select("station", "t", F.col("low_resource").cast("int").alias("low_resource"))
 
 
-
-
-@query(_lowres_sql(*PLAIN, "x as (select station as obs_id, t, * exclude (station, t) from m)", SUN.format(lat="50.0::double", lon="10.0::double", src="x").replace("select obs_id, 50.0", "select obs_id, t, anom, low, 50.0").replace("sun as (select obs_id,", "sun as (select obs_id, t, anom, low,"), end="select obs_id as station, t, cast(anom is not null and low and elevation > 0 as int) as low_resource from sun", value="rsds"))
+@query(sql("panel", "site", body=",\n".join((*PLAIN, "x as (select station as obs_id, t, * exclude (station, t) from m)", SUN.format(lat="site.s.lat", lon="site.s.lon", src="x left join site on site.p = substr(x.obs_id, 1, 3)").replace("select obs_id, site", "select obs_id, t, anom, low, site").replace("sun as (select obs_id,", "sun as (select obs_id, t, anom, low,"))) + "\nselect obs_id as station, t, cast(anom is not null and low and coalesce(elevation > 0, true) as int) as low_resource from sun", value="rsds"))
 def lowres_solar(spark, d):
-    """Low irradiance, not counted at night (as over 50°N 10°E)."""
-    night = W.solar_elevation(F.lit(50.0), F.lit(10.0), F.col("t")) <= 0
-    return lowres.low_resource(panel(spark, d, "rsds"), night=night).select("station", "t", F.col("low_resource").cast("int").alias("low_resource"))
+    """Low irradiance, not counted at night over a station's site; a station without a site has no night."""
+    series = panel(spark, d, "rsds").join(sites(spark, d, "solar").select("station", "lat", "lon"), "station", "left")
+    night = W.solar_elevation(F.col("lat"), F.col("lon"), F.col("t")) <= 0
+    return lowres.low_resource(series, night=night).select("station", "t", F.col("low_resource").cast("int").alias("low_resource"))
 
 
 @query(_lowres_sql(ROLL_V1, CLIM.format(where=""), ANOM, THR.format(where=""), "m as (select a.station, a.t, a.anom, coalesce(a.anom <= p.threshold, false) as low from a left join p on a.station = p.station)"))
@@ -252,9 +252,10 @@ def lowres_external_thr(spark, d):
     x = panel(spark, d)
     rolled = lowres.rolling(x)
     clim = rolled.groupBy(F.month("t").alias("month"), F.hour("t").alias("hour")).agg(F.round(F.avg("roll"), 6).alias("clim"))
-    each = x.select("station").distinct()
+    each = table(spark, d, "weather_hourly").select(F.col("station_id").alias("station")).distinct()
     thr = each.withColumn("threshold", F.lit(-1.0))
-    own = rolled.select("station", F.month("t").alias("month"), F.hour("t").alias("hour")).distinct().join(clim, ["month", "hour"])
+    # 288 rows at most, for each station
+    own = each.join(F.broadcast(clim))
     return lowres.low_resource(x, clim=own, thr=thr).select("station", "t", F.col("low_resource").cast("int").alias("low_resource"))
 
 
