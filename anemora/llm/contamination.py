@@ -159,6 +159,7 @@ def window_hashes(codes, at, k: int = K):
     return h.astype(np.int64)
 
 
+@lru_cache(10_000)
 def least_windows(n: int) -> int:
     """Intact windows that any allowed quotation of an item of n words has at least, and 1."""
     return max(1, min(m - m // EDITS - (K - 1) * (m // EDITS + 1) for m in range(-(-n // 2), max(n, 1) + 1)))
@@ -264,22 +265,45 @@ def hit_batches(table, least: int, width: int, rows: int = 1000, bits: int = SKE
     return run
 
 
-def stretches(batches: Iterator) -> Iterator:
-    """Of pairs (id, item_id, n, least, dpos, ipos) the stretches (id, item_id, lo, hi) that hold enough windows of the item near one diagonal."""
+def stretch_batches(batches: Iterator) -> Iterator:
+    """Of documents' windows (id, at: dpos and the items (item_id, n, ipos) that have the window) the stretches (id, item_id, lo, hi) that hold enough windows of an item near one diagonal.
+
+    Almost all pairs of a document and an item share a stock phrase or two; they are counted away here, before anything of them is moved.
+    """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    for pdf in batches:
-        out = []
-        for i, k, n, least, d, p in zip(pdf["id"], pdf["item_id"], pdf["n"], pdf["least"], pdf["dpos"], pdf["ipos"]):
-            order = np.argsort(d, kind="stable")
-            d, p = np.asarray(d)[order], np.asarray(p)[order]
-            for part in np.split(np.arange(len(d)), np.flatnonzero(np.diff(d) > span(n)) + 1):
-                shift = np.sort(d[part] - p[part])
-                together = np.searchsorted(shift, shift + n // (EDITS - 1) + 1, side="right") - np.arange(len(shift))
-                if together.max(initial=0) >= least:
-                    out.append((i, k, max(0, int(d[part[0]]) - span(n)), int(d[part[-1]]) + span(n)))
-        yield pd.DataFrame(out, columns=["id", "item_id", "lo", "hi"])
+    flags = lambda x: x.to_numpy(zero_copy_only=False)
+    for batch in batches:
+        owner = np.repeat(np.arange(len(batch)), flags(pc.list_value_length(batch.column(1))))
+        hits = batch.column(1).flatten()
+        dpos, having = flags(hits.field("dpos")).astype(np.int64), hits.field("items")
+        row = np.repeat(np.arange(len(hits)), flags(pc.list_value_length(having)))
+        items = having.flatten()
+        n, ipos, known = flags(items.field("n")), flags(items.field("ipos")), items.field("item_id").dictionary_encode()
+        pair = owner[row] * np.int64(len(known.dictionary) + 1) + flags(known.indices)
+        wide = np.int64(ipos.max(initial=0)) + 1
+        pairs, common = np.unique(np.unique(pair * wide + ipos) // wide, return_counts=True)
+        _, first, back = np.unique(pair, return_index=True, return_inverse=True)
+        least = np.array([least_windows(k) for k in range(int(n.max(initial=0)) + 1)])[n[first]]
+        keep = np.flatnonzero((common >= least)[back])
+        keep = keep[np.lexsort((dpos[row[keep]], pair[keep]))]
+        ids, doc, lo, hi = [], [], [], []
+        edges = np.flatnonzero(np.diff(pair[keep], prepend=-1, append=-1) != 0) if len(keep) else np.zeros(1, int)
+        for a, b in zip(edges, edges[1:]):
+            part = keep[a:b]
+            size, d, p = int(n[part[0]]), dpos[row[part]], ipos[part]
+            for piece in np.split(np.arange(len(d)), np.flatnonzero(np.diff(d) > span(size)) + 1):
+                shift = np.sort(d[piece] - p[piece])
+                together = np.searchsorted(shift, shift + size // (EDITS - 1) + 1, side="right") - np.arange(len(shift))
+                if together.max() >= least_windows(size):
+                    doc.append(owner[row[part[0]]])
+                    ids.append(part[0])
+                    lo.append(max(0, d[piece[0]] - span(size)))
+                    hi.append(d[piece[-1]] + span(size))
+        columns = [batch.column(0).take(pa.array(doc, pa.int64())), items.field("item_id").take(pa.array(ids, pa.int64())), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "item_id", "lo", "hi"])
 
 
 def align(items: list, docs: list, cost: int = 4):
@@ -416,20 +440,21 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col:
     lists = "words array<int>, kinds array<tinyint>, pos array<int>, h array<bigint>"
     known = items.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")).filter(F.col("item_id").isNotNull())
     known = written(known.mapInArrow(item_batches(), f"item_id {item_kind}, {lists}").withColumn("n", F.size("words")).filter("n > 0").withColumn("least", _least(F.col("n"))), "items")
-    windows = written(known.select("item_id", "n", "least", F.inline(F.arrays_zip(F.col("pos").alias("ipos"), "h"))).distinct(), "windows")
+    windows = written(known.select("item_id", "n", F.inline(F.arrays_zip(F.col("pos").alias("ipos"), "h"))).distinct(), "windows")
     easiest = known.agg(F.min("least").alias("least"), F.max("n").alias("n")).first()
     table = sketch(windows)
     coded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(hit_batches(table, easiest["least"] or 1, span(easiest["n"] or 0)), f"id {kind}, {lists}")
     coded = written(coded, "coded")
-    hits = coded.select("id", F.inline(F.arrays_zip(F.col("pos").alias("dpos"), "h")))
+    having = windows.groupBy("h").agg(F.collect_list(F.struct("item_id", "n", "ipos")).alias("items"))
+    # one row a document is moved, with its windows; what an item has in common with it is then counted where the document is
+    hits = coded.select("id", "pos", "h").repartition("id").select("id", F.inline(F.arrays_zip(F.col("pos").alias("dpos"), "h")))
     count = windows.count()
     if count <= broadcast_windows:
-        both = hits.join(F.broadcast(windows), "h")
+        both = hits.join(F.broadcast(having), "h")
     else:
-        both = hits.withColumn("salt", F.pmod("dpos", F.lit(SALTS))).join(windows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["h", "salt"])
-    pairs = both.groupBy("id", "item_id", "n", "least").agg(F.collect_list(F.struct("dpos", "ipos")).alias("at")).filter(F.size(F.array_distinct("at.ipos")) >= F.col("least"))
-    pairs = pairs.select("id", "item_id", "n", "least", F.col("at.dpos").alias("dpos"), F.col("at.ipos").alias("ipos"))
-    places = written(pairs.mapInPandas(stretches, f"id {kind}, item_id {item_kind}, lo int, hi int"), "stretches")
+        both = hits.withColumn("salt", F.pmod("dpos", F.lit(SALTS))).join(having.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["h", "salt"])
+    together = both.groupBy("id").agg(F.collect_list(F.struct("dpos", "items")).alias("at"))
+    places = written(together.mapInArrow(stretch_batches, f"id {kind}, item_id {item_kind}, lo int, hi int"), "stretches")
     cut = lambda c: F.slice(c, F.col("lo") + 1, F.col("hi") - F.col("lo"))
     near = coded.select("id", "words", "kinds").join(places, "id").select("id", "item_id", cut("words").alias("words"), cut("kinds").alias("kinds"))
     near = near.join(known.select("item_id", F.col("words").alias("item"), F.col("kinds").alias("item_kinds")), "item_id")
