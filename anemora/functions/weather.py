@@ -66,9 +66,10 @@ def to_wm2(x: Column, units: str, step_seconds: float | None = None) -> Column:
 
 
 def to_percent(x: Column, units: str) -> Column:
-    """Relative humidity in percent, kept within 0..100; null stays null."""
+    """Relative humidity in percent, kept within 0..100; null stays null. Beyond -1..101 a value raises an error when it is read."""
     scale = _known(units, HUMIDITY_UNITS, "humidity")
     y = x * F.lit(scale)
+    y = F.when(~y.between(-1, 101), F.raise_error(F.concat(F.lit("humidity out of range: "), y.cast("string"))).cast("double")).otherwise(y)
     return F.when(y.isNotNull(), F.least(F.greatest(y, F.lit(0.0)), F.lit(100.0)))
 
 
@@ -126,11 +127,32 @@ def solar_elevation(lat: Column, lon: Column, t: Column) -> Column:
     return F.degrees(F.asin(F.least(F.greatest(s, F.lit(-1.0)), F.lit(1.0))))
 
 
+def fixed4(x: Column) -> Column:
+    """A number of at most three digits before the point with four decimals, rounded by its exact binary value (half to even).
+
+    The nearest multiple is taken first; then 20000 * |x|, as a whole number of 2 ** -52 (below 1: 2 ** -62) and a rest, is held
+    against the two points half way to its neighbours.
+    """
+    y = F.abs(x)
+    n = F.round(y * 1e4).cast("bigint")
+    small = y < 1
+    scaled = y * F.when(small, float(1 << 62)).otherwise(float(1 << 52))
+    whole = F.floor(scaled).cast("bigint")
+    rest = scaled > whole.cast("double")
+    exact = whole.cast("decimal(20,0)") * F.lit(20000).cast("decimal(5,0)")
+    unit = F.when(small, F.lit(1 << 62).cast("decimal(20,0)")).otherwise(F.lit(1 << 52).cast("decimal(20,0)"))
+    half = lambda d: (2 * n + d).cast("decimal(10,0)") * unit
+    odd = F.pmod(n, F.lit(2)) == 1
+    up = (exact > half(1)) | ((exact == half(1)) & (odd | rest))
+    down = (exact < half(-1)) | ((exact == half(-1)) & odd & ~rest)
+    n = n + up.cast("int") - down.cast("int")
+    return F.format_string("%s%d.%04d", F.when(x < 0, "-").otherwise(""), F.floor(n / 10000), F.pmod(n, F.lit(10000)))
+
+
 def station_id(scenario: Column, tech: Column, lon: Column, lat: Column) -> Column:
     """20 hex digits of sha1('scenario|tech|lon|lat'), coordinates with four decimals, longitude in [-180, 180).
 
-    Null for an unknown scenario or technology, or coordinates that are missing or impossible. Coordinates exactly half
-    way between two fourth decimals are rounded up from their shortest decimal form.
+    Null for an unknown scenario or technology, or coordinates that are missing or impossible.
     """
     ok = scenario.isin("ssp126", "ssp245", "ssp585") & tech.isin("wind", "solar") & (F.abs(lat) <= 90) & finite(lon).isNotNull()
-    return F.when(ok, F.left(F.sha1(F.format_string("%s|%s|%.4f|%.4f", scenario, tech, lon_180(lon), lat)), F.lit(20)))
+    return F.when(ok, F.left(F.sha1(F.concat_ws("|", scenario, tech, fixed4(lon_180(lon)), fixed4(lat))), F.lit(20)))

@@ -7,6 +7,8 @@ Stations without coordinates have no row in a match. Empty grids give empty matc
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +62,38 @@ def nearest_2d(stations: DataFrame, cells: DataFrame, key: str = "station", reac
     return best.select(key, "region", "m.idx0", "m.idx1", F.col("m.d").alias("dist_deg"))
 
 
+def nearest_2d_own(stations: DataFrame, cells: DataFrame, key: str = "station", max_dist: float = MAX_DIST, reach: float = 0.5) -> DataFrame:
+    """(key, region, idx0, idx1, dist_deg, valid): the nearest cell of the station's own two-dimensional grid, however far it lies.
+
+    stations: key, region, lat, lon. Those without a cell within reach look on in tiles four times as large, and so on; a
+    search ends where no station is left, at the latest with tiles larger than the globe.
+    """
+    grid = cells.filter((F.col("grid_kind") == "rotated_pole") & F.col("region").isNotNull()).select("region", "idx0", "idx1", F.col("lat").alias("glat"), F.col("lon").alias("glon")).distinct()
+    left = stations.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(key, "region", "lat", "lon").join(grid.select("region").distinct(), "region", "left_semi")
+    found = []
+    while True:
+        tile = lambda c, d=0, size=reach: (F.floor(F.col(c) / size) + d).cast("int")
+        around = lambda c: F.explode(F.array(*[tile(c, d) for d in (-1, 0, 1)]))
+        d = F.round(F.sqrt(F.pow(F.col("lat") - F.col("glat"), 2) + F.pow(F.col("lon") - F.col("glon"), 2)), 9)
+        near = left.withColumns({"y": tile("lat"), "x": tile("lon")}).join(grid.withColumn("y", around("glat")).withColumn("x", around("glon")), ["region", "y", "x"]).withColumn("d", d).filter(F.col("d") <= reach)
+        best = near.groupBy(key, "region").agg(F.min(F.struct("d", "idx0", "idx1")).alias("m"))
+        found.append(written(best.select(key, "region", "m.idx0", "m.idx1", F.col("m.d").alias("dist_deg")), "near"))
+        left = written(left.join(found[-1].select(key, "region"), [key, "region"], "left_anti"), "left")
+        if reach > 540 or not left.limit(1).count():
+            break
+        reach *= 4
+    return reduce(DataFrame.unionByName, found).withColumn("valid", F.col("dist_deg") <= max_dist)
+
+
 def bilinear(stations: DataFrame, cells: DataFrame, key: str = "station") -> DataFrame:
     """(key, region, corner, idx0, idx1, weight): the four surrounding cells, in the order SW, SE, NW, NE.
 
-    Latitudes beyond the grid are held at its border, longitudes go round. Weights add up to 1.
+    Latitudes beyond the grid are held at its border, longitudes go round. Weights add up to 1. A station whose region is a
+    two-dimensional grid raises an error when its row is read.
     """
+    kinds = cells.filter("region is not null").groupBy("region").agg(F.max((F.col("grid_kind") == "rotated_pole").cast("int")).alias("turned"))
+    fault = F.raise_error(F.lit("bilinear weights need a regular grid")).cast("double")
+    stations = stations.join(kinds, "region", "left").withColumn("lat", F.when(F.col("turned") == 1, fault).otherwise(F.col("lat"))).drop("turned")
     round_ = lambda x: F.pmod(x, F.lit(360.0))
     both = _on_axes(stations, cells).withColumn("lon", round_(F.col("lon"))).withColumn("lons", F.array_sort(F.transform("lons", lambda x: F.struct(round_(x["g"]).alias("g"), x["i"].alias("i")))))
     low = lambda axis, c: F.array_max(F.filter(axis, lambda x: x["g"] <= F.col(c)))

@@ -21,6 +21,39 @@ def parse(raw: DataFrame) -> DataFrame:
     return out.dropna(subset=["lon", "lat", "year"])
 
 
+#: Names under which older lists have their columns, in order.
+ALIASES = {"lon": ("lon", "longitude", "x", "lng"), "lat": ("lat", "latitude", "y"), "type": ("type", "tech", "technology"), "country": ("country", "nation"), "capacity_gw": ("capacity_gw", "capacity", "cap_gw"), "year": ("year", "activation_year", "start_year")}
+
+
+def legacy_columns(raw: DataFrame) -> DataFrame:
+    """Columns of an older list under their present names: byte-order marks, blanks and letter case of names do not count, of several aliases the first holds."""
+    bare = {c.replace("\ufeff", "").strip().lower(): c for c in reversed(raw.columns)}
+    found = {name: next((bare[a] for a in names if a in bare), None) for name, names in ALIASES.items()}
+    return raw.select(*[F.col(f"`{c}`").alias(name) if c else F.lit(None).cast("string").alias(name) for name, c in found.items()])
+
+
+def parse_legacy(raw: DataFrame, tech: str | None = None, countries: tuple[str, ...] | None = None) -> DataFrame:
+    """(country, type, lon, lat, capacity_gw, year) of an older list: rows without place go, a missing year stays; of one technology or some countries only if given."""
+    number = lambda c: finite(F.translate(F.trim(c), "\ufeff", "").try_cast("double"))
+    out = legacy_columns(raw).select(F.trim("country").alias("country"), F.lower(F.trim("type")).alias("type"), lon_180(number("lon")).alias("lon"), number("lat").alias("lat"), number("capacity_gw").alias("capacity_gw"), number("year").cast("int").alias("year"))
+    out = out.dropna(subset=["lon", "lat"])
+    if tech:
+        out = out.filter(F.col("type") == tech)
+    return out.filter(F.col("country").isin(*countries)) if countries else out
+
+
+def scenario_of(name: Column) -> Column:
+    """The scenario that a file name holds, in small letters; an error where it holds none."""
+    found = F.regexp_extract(F.lower(name), "(ssp126|ssp245|ssp585|historical)", 1)
+    return F.when(found != "", found).otherwise(F.raise_error(F.concat(F.lit("no scenario in "), F.coalesce(name, F.lit("null")))).cast("string"))
+
+
+def safe_name(name: Column, length: int = 60) -> Column:
+    """A name as part of a path: letters without accents, digits, - and _; everything else is one _; at most length letters."""
+    plain = F.translate(name, "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ", "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY")
+    return F.substring(F.regexp_replace(F.regexp_replace(plain, r"[^A-Za-z0-9_-]+", "_"), r"^_+|_+$", ""), 1, length)
+
+
 def deduplicate(stations: DataFrame, key: list[str]) -> DataFrame:
     """One row per key: activation_year (the earliest) and the first capacity given, by year and then by value."""
     return stations.groupBy(*key).agg(F.min("year").alias("activation_year"), F.min(F.when(F.col("capacity_gw").isNotNull(), F.struct("year", "capacity_gw"))).alias("c")).select(*key, "activation_year", F.col("c.capacity_gw").alias("capacity_gw"))
@@ -74,6 +107,48 @@ def bad_ids(stations: DataFrame, id_col: str = "station_id") -> DataFrame:
     return with_ids(stations).filter(~F.coalesce(good, F.lit(False)))
 
 
+def identity_faults(written: DataFrame, listed: DataFrame, id_col: str = "station_id") -> DataFrame:
+    """(row, fault) of a file's stations against the list they were made from, both with row (position), scenario, tech, lon, lat.
+
+    Faults: not_listed, not_written (one side lacks the position), moved (another place at four decimals), bad_id (not the
+    id worked out from the list's place). A file without ids has none of the last.
+    """
+    at = lambda c: F.round(F.col(c), 4)
+    ids = F.col(id_col) if id_col in written.columns else F.lit(None).cast("string")
+    a = written.select("row", at("lat").alias("alat"), at(lon_col(written)).alias("alon"), ids.alias("aid"), F.lit(1).alias("a"))
+    b = with_ids(listed).select("row", at("lat").alias("blat"), at(lon_col(listed)).alias("blon"), "computed_id", F.lit(1).alias("b"))
+    moved = (F.abs(F.col("alat") - F.col("blat")) > 1e-9) | (F.abs(F.col("alon") - F.col("blon")) > 1e-9)
+    fault = F.when(F.col("b").isNull(), "not_listed").when(F.col("a").isNull(), "not_written").when(moved, "moved").when(F.col("aid") != F.col("computed_id"), "bad_id")
+    return a.join(b, "row", "full_outer").select("row", fault.alias("fault")).filter("fault is not null")
+
+
+def lon_col(df: DataFrame) -> str:
+    return "lon" if "lon" in df.columns else "longitude"
+
+
+def repair_ids(written: DataFrame, id_col: str = "station_id") -> DataFrame:
+    """Stations with the ids worked out from them, where they have none or a bad one; `repaired` tells which. Doing it again changes nothing."""
+    made = with_ids(written if id_col in written.columns else written.withColumn(id_col, F.lit(None).cast("string")))
+    bad = F.col("computed_id").isNotNull() & (F.col(id_col).isNull() | (F.col(id_col) != F.col("computed_id")))
+    return made.withColumn("repaired", bad.cast("int")).withColumn(id_col, F.when(bad, F.col("computed_id")).otherwise(F.col(id_col))).drop("computed_id")
+
+
+def reconcile(weather_sites: DataFrame, listed: DataFrame, tolerance: float = 1e-3) -> DataFrame:
+    """(row, site, matched): the listed station of each row of a weather table by position, if it lies within tolerance there, else the nearest listed one within it.
+
+    weather_sites: row, lat, lon. listed: row, site, lat, lon.
+    """
+    b = listed.select(F.col("row").alias("brow"), "site", F.col("lat").alias("blat"), F.col("lon").alias("blon"))
+    far = F.greatest(F.abs(F.col("lat") - F.col("blat")), F.abs(F.col("lon") - F.col("blon")))
+    here = weather_sites.join(b, weather_sites["row"] == b["brow"]).filter(far <= tolerance).select("row", "site", F.lit("position").alias("matched"))
+    rest = weather_sites.join(here.select("row"), "row", "left_anti")
+    q = lambda c, d=0: (F.floor(F.col(c) / tolerance) + d).cast("bigint")
+    wide = b.withColumn("y", F.explode(F.array(*[q("blat", d) for d in (-1, 0, 1)]))).withColumn("x", F.explode(F.array(*[q("blon", d) for d in (-1, 0, 1)])))
+    near = rest.withColumns({"y": q("lat"), "x": q("lon")}).join(wide, ["y", "x"]).filter(far <= tolerance)
+    best = near.groupBy("row").agg(F.min(F.struct(F.round(far, 9).alias("d"), "brow", "site")).alias("m"))
+    return here.unionByName(best.select("row", "m.site", F.lit("place").alias("matched")))
+
+
 def in_box(lat: Column, lon: Column, box: tuple[float, float, float, float]) -> Column:
     """South, north, west, east; borders count."""
     return lat.between(box[0], box[1]) & lon.between(box[2], box[3])
@@ -107,6 +182,11 @@ def top_per_group(df: DataFrame, group: str, order: list, n: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("rank") <= n)
 
 
+def merge_weather(tables: list[DataFrame], key: list[str], prefer: str = "first") -> DataFrame:
+    """Weather tables (key, t, values) merged: the union of their times, the variables that all of them have; of a key and time that several have, the first (or last) table's values."""
+    return merge_sets(tables, [*key, "t"], prefer)
+
+
 def merge_sets(sets: list[DataFrame], key: list[str], prefer: str = "first") -> DataFrame:
     """Union of tables over their common columns; of a key that several have, the first (or last) table's row stays."""
     common = [c for c in sets[0].columns if all(c in s.columns for s in sets)]

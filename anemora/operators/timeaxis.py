@@ -131,6 +131,14 @@ def missing_months(df: DataFrame, expected: DataFrame, key: list[str] | None = N
     return expected.join(there, [*(key or []), "year", "month"], "left_anti")
 
 
+def require_months(df: DataFrame, expected: DataFrame) -> DataFrame:
+    """expected, or ValueError naming the first month of which df has no row."""
+    lack = missing_months(df, expected).orderBy("year", "month").first()
+    if lack:
+        raise ValueError(f"no rows of {lack['year']:04d}-{lack['month']:02d}")
+    return expected
+
+
 def chunk_plan(months: DataFrame, per_chunk: int) -> DataFrame:
     """(chunk, first_month, last_month, months): successive months in chunks, numbered from 0."""
     k = F.col("year") * 12 + F.col("month") - 1

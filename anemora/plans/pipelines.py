@@ -35,6 +35,21 @@ def threshold_faults(thr: DataFrame) -> DataFrame:
     return thr.filter(bad)
 
 
+def compatibility_faults(thr: DataFrame, place: list[str], kind: str, kinds: int) -> DataFrame:
+    """(place, kind, fault) of a threshold table before it is used again: missing, uncounted, doubled (two rows of one key) and, without kind, incomplete places."""
+    fault = lambda df, name: df.select(*place, kind, F.lit(name).alias("fault"))
+    counted = thr.groupBy(*place, kind).agg(F.count(F.lit(1)).alias("n"))
+    short = counted.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < kinds).withColumn(kind, F.lit(None).cast(dict(thr.dtypes)[kind]))
+    missing = thr.filter(F.col("threshold").isNull() | F.isnan("threshold"))
+    uncounted = thr.filter(F.coalesce(F.col("valid_count") <= 0, F.lit(True)))
+    return fault(missing, "missing").unionByName(fault(uncounted, "uncounted")).unionByName(fault(counted.filter("n > 1"), "doubled")).unionByName(fault(short, "incomplete"))
+
+
+def bridge_faults(bridge: DataFrame, key: str = "station", tolerance: float = 1e-6) -> DataFrame:
+    """(key, total) of stations whose weights do not add up to 1; they must not be used to gather."""
+    return bridge.groupBy(key).agg(F.sum("weight").alias("total")).filter(F.abs(F.col("total") - 1) > tolerance)
+
+
 def station_signals(weather: DataFrame, stations: DataFrame, cells: DataFrame, tech: str, ahead: int = 0, max_dist: float = gridmatch.MAX_DIST) -> DataFrame:
     """Signals of the stations of one technology: threshold events and low resource, masked by match, activation and night.
 

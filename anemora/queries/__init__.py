@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from anemora.queries import places, problems, weather
+from anemora.queries import archives, places, problems, weather
 
-MODULES = [problems, weather, places]
+MODULES = [problems, weather, places, archives]
 
 
 def queries() -> dict:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from anemora.operators import events, gridmatch, stations as S
 from anemora.operators.rows import latest
 from anemora.plans import pipelines
-from anemora.queries.views import cells, cube, hourly, monthly_cube, obs, sites, sql, stations
+from anemora.queries.views import cells, cube, hourly, monthly_cube, obs, sites, sql, stations, wrap_sql
 from anemora.queries.weather import CONDITIONS, PLAIN, TIE, _flag
 from anemora.session import table
 from anemora.sources import readers, sinks
@@ -30,6 +30,12 @@ def placed(spark, d):
     return stations(spark, d).filter("region is not null")
 
 
+def regular(spark, d):
+    """Stations of regions on regular grids."""
+    kinds = cells(spark, d).filter("grid_kind = 'regular_latlon'").select("region").distinct()
+    return placed(spark, d).join(F.broadcast(kinds), "region", "left_semi")
+
+
 GAP = "abs((((({a}) - ({b}) + 180) % 360) + 360) % 360 - 180)"
 G1 = GAP.format(a="g.lon", b="s.lon")
 AXES = "la as (select region, idx0, min(lat) as lat from cells where grid_kind = 'regular_latlon' group by 1, 2), lo as (select region, idx1, min(lon) as lon from cells where grid_kind = 'regular_latlon' group by 1, 2)"
@@ -65,7 +71,7 @@ bridge as (select station, region, 0 as corner, s as idx0, w as idx1, (1 - fy) *
 
 @query(sql("stations", "cells", body=BILINEAR + "\nselect station, region, corner, idx0, idx1, round(weight + 3e-11, 9) as weight from bridge"))
 def match_bilinear(spark, d):
-    return gridmatch.bilinear(placed(spark, d), cells(spark, d)).withColumn("weight", F.round(F.col("weight") + TIE, 9))
+    return gridmatch.bilinear(regular(spark, d), cells(spark, d)).withColumn("weight", F.round(F.col("weight") + TIE, 9))
 
 
 VALID = "valid as (select region, idx0, idx1 from cube group by 1, 2, 3 having count(v) > 0 and max(v) > 0)"
@@ -112,12 +118,12 @@ def gather_nearest(spark, d):
 
 @query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(sum(weight * v) / nullif(sum(case when v is not null then weight end), 0) + 3e-11, 9) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
 def gather_weighted(spark, d):
-    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), cube(spark, d)).withColumn("v", F.round(F.col("v") + TIE, 9))
+    return gridmatch.gather(gridmatch.bilinear(regular(spark, d), cells(spark, d)), cube(spark, d)).withColumn("v", F.round(F.col("v") + TIE, 9))
 
 
 @query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(case when count(v) = count(*) then sum(weight * v) end + 3e-11, 9) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
 def gather_weighted_strict(spark, d):
-    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), cube(spark, d), how="strict").withColumn("v", F.round(F.col("v") + TIE, 9))
+    return gridmatch.gather(gridmatch.bilinear(regular(spark, d), cells(spark, d)), cube(spark, d), how="strict").withColumn("v", F.round(F.col("v") + TIE, 9))
 
 
 # the same over all months and from the readings; too many rows for SQL
@@ -142,20 +148,21 @@ def gather_nearest_monthly(spark, d):
 
 @query()
 def gather_weighted_monthly(spark, d):
-    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), monthly_cube(spark, d)).withColumn("v", F.round("v", 6))
+    return gridmatch.gather(gridmatch.bilinear(regular(spark, d), cells(spark, d)), monthly_cube(spark, d)).withColumn("v", F.round("v", 6))
 
 
 @query()
 def gather_weighted_strict_monthly(spark, d):
-    return gridmatch.gather(gridmatch.bilinear(placed(spark, d), cells(spark, d)), monthly_cube(spark, d), how="strict").withColumn("v", F.round("v", 6))
+    return gridmatch.gather(gridmatch.bilinear(regular(spark, d), cells(spark, d)), monthly_cube(spark, d), how="strict").withColumn("v", F.round("v", 6))
 
 
-@query(sql("stations", "cells", body=NEAREST + ",\n" + "tc as (select lat_idx as idx0, lon_idx as idx1, count(*) as n from (select distinct * from threshold_grid) group by 1, 2)\nselect near.station, near.region, coalesce(tc.n, 0) as thresholds from near left join tc on tc.idx0 = near.idx0 and tc.idx1 = near.idx1 where near.dist_deg <= 0.15"))
+@query(sql("stations", "cells", body=NEAREST + ",\n" + "tc as (select tech, lat_idx as idx0, lon_idx as idx1, pctl, min(threshold) as threshold from threshold_grid where threshold is not null group by all)\nselect near.station, near.region, tc.pctl, round(cast(tc.threshold as double), 6) as threshold from near join stations s on s.station = near.station left join tc on tc.tech = s.tech and tc.idx0 = near.idx0 and tc.idx1 = near.idx1 where near.dist_deg <= 0.15"))
 def thr_lookup_grid(spark, d):
-    """How many recorded thresholds stand at the cell that each matched station lies on."""
-    match = gridmatch.nearest_regular(placed(spark, d), cells(spark, d)).filter("valid")
-    n = table(spark, d, "threshold_grid").distinct().groupBy(F.col("lat_idx").alias("idx0"), F.col("lon_idx").alias("idx1")).agg(F.count(F.lit(1)).alias("n"))
-    return match.join(n, ["idx0", "idx1"], "left").select("station", "region", F.coalesce("n", F.lit(0)).alias("thresholds"))
+    """The recorded thresholds of a station's technology at the cell that it lies on; null where there are none."""
+    s = placed(spark, d)
+    match = gridmatch.nearest_regular(s, cells(spark, d)).filter("valid").join(s.select("station", "tech"), "station")
+    known = table(spark, d, "threshold_grid").filter("threshold is not null").groupBy("tech", F.col("lat_idx").alias("idx0"), F.col("lon_idx").alias("idx1"), "pctl").agg(F.min("threshold").alias("threshold"))
+    return match.join(known, ["tech", "idx0", "idx1"], "left").select("station", "region", "pctl", F.round(F.col("threshold").cast("double"), 6).alias("threshold"))
 
 
 @query(sql("stations", body="""t as (select station as row, tech, lat + 0.000004::double as lat, lon from stations where scenario = 'ssp126'),
@@ -232,11 +239,9 @@ def station_maps(spark, d):
     return S.scenario_map(s, S.union_index(s))
 
 
-@query(sql("stations", body="select station, substr(sha1(scenario || '|' || tech || '|' || printf('%.4f', round(lon + 1e-7, 3)) || '|' || printf('%.4f', round(lat + 1e-7, 3))), 1, 20) as id from stations"))
+@query(sql("stations", body=f"select station, substr(sha1(scenario || '|' || tech || '|' || printf('%.4f', {wrap_sql('lon')}) || '|' || printf('%.4f', lat)), 1, 20) as id from stations"))
 def station_ids(spark, d):
-    """Ids of places rounded to three decimals (free of half-way cases)."""
-    s = stations(spark, d).withColumns({"lon": F.round(F.col("lon") + 1e-7, 3), "lat": F.round(F.col("lat") + 1e-7, 3)})
-    return S.with_ids(s).select("station", F.col("computed_id").alias("id"))
+    return S.with_ids(stations(spark, d)).select("station", F.col("computed_id").alias("id"))
 
 
 @query("with s as (select station_id, scenario, tech, round((((lon + 180) % 360) + 360) % 360 - 180, 4) as lon4, round(lat, 4) as lat4 from station_match) select station_id as id, count(*) as rows, count(distinct {'a': scenario, 'b': tech, 'c': lon4, 'd': lat4}) as places from s group by 1 having count(*) > 1")

@@ -91,6 +91,11 @@ def monthly_cube(spark: SparkSession, d: str) -> DataFrame:
     return cells(spark, d).join(small(months, months.count()), "region").select("region", "idx0", "idx1", "t", v.alias("v"))
 
 
+def wrap_sql(lon: str) -> str:
+    """lon in [-180, 180), with the same roundings as pmod."""
+    return f"(case when ({lon} + 180) % 360 < 0 then (({lon} + 180) % 360 + 360) % 360 else ({lon} + 180) % 360 end - 180)"
+
+
 CTE = {
     "obs": """obs as (
   select distinct obs_id, station_id as station, t, case when isfinite(temp_c) then temp_c end as temp_c, case when isfinite(wind_ms) then wind_ms end as wind_ms,
@@ -100,8 +105,8 @@ CTE = {
     "panel": """hourly as (select station, date_trunc('hour', t) as t, round(avg(cast({value} as double)), 6) as v from obs group by 1, 2),
 axis as (select station, unnest(generate_series(a, b, interval 1 hour)) as t from (select station, min(t) as a, max(t) as b from hourly group by station)),
 panel as (select axis.station, axis.t, hourly.v from axis left join hourly on hourly.station = axis.station and hourly.t = axis.t)""",
-    "stations": """stations as (
-  select distinct match_id as station, station_id, scenario, tech, activation_year, capacity_gw, (((lon + 180) % 360) + 360) % 360 - 180 as lon, lat, region
+    "stations": f"""stations as (
+  select distinct match_id as station, station_id, scenario, tech, activation_year, capacity_gw, {wrap_sql("lon")} as lon, lat, region
   from station_match where abs(lat) <= 90 and abs(lon) <= 540)""",
     "site": """site as (select substr(station_id, 1, 3) as p, min({{'m': station, 'region': region, 'lat': lat, 'lon': lon, 'y': activation_year}}) as s from stations where tech = 'solar' and region is not null group by 1)""",
     "cells": "cells as (select distinct region, grid_kind, idx0, idx1, lat, lon from grid_cell)",

@@ -6,7 +6,7 @@ on partition columns, a missing file a missing partition. NetCDF is not read; cl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anemora.functions import weather as W
@@ -29,6 +29,11 @@ def existing_path(spark: SparkSession, candidates: list[str]) -> str:
     raise FileNotFoundError(" | ".join(candidates))
 
 
+def year_of(name: Column) -> Column:
+    """The year that a file name holds (its first number of four digits from 1900 on); null where it holds none."""
+    return F.nullif(F.regexp_extract(name, r"(?:^|[^0-9])((?:19|20|21)[0-9]{2})(?:[^0-9]|$|[01][0-9])", 1), F.lit("")).cast("int")
+
+
 def prefer(tables: list[DataFrame], key: list[str]) -> DataFrame:
     """Rows of several candidates of the same data; for each key those of the first candidate that has it."""
     rows = tables[0].withColumn("_n", F.lit(0))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anemora.session import scratch
-
 PARTITIONS = ["region", "scenario", "year", "tech"]
 
 
@@ -41,17 +41,51 @@ def backfill(signals: DataFrame, computed: DataFrame, key: list[str], column: st
     return out.withColumn(column, value.cast("tinyint")).drop("_new")
 
 
+#: Name of the file that tells which version of a replaced table holds.
+CURRENT = "_current"
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write df beside path, then swap: readers see the old table or the new one. df may read from path."""
+    """Write df as a new version under path, then let the pointer file show it; df may read from the version before.
+
+    The pointer is replaced by one rename that overwrites, so that a reader of current_table() sees the old version or the
+    new one, whenever the writer is lost.
+    """
     spark = df.sparkSession
-    stage = scratch(spark, "swap")
-    df.write.parquet(stage)
-    p = spark._jvm.org.apache.hadoop.fs.Path
-    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = p(path + ".old")
-    if fs.exists(p(path)):
-        fs.rename(p(path), old)
-    if not fs.rename(p(stage), p(path)):
-        raise OSError(f"{stage} could not be moved to {path}")
-    if fs.exists(old):
-        fs.delete(old, True)
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    fs_of = spark._jvm.org.apache.hadoop.fs
+    temporary, pointer = fs_of.Path(f"{path}/_{version}"), fs_of.Path(f"{path}/{CURRENT}")
+    out = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).create(temporary)
+    out.write(version.encode())
+    out.close()
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    fs_of.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration()).rename(temporary, pointer, options)
+
+
+def current_table(spark: SparkSession, path: str) -> DataFrame:
+    """The version of a replaced table that holds."""
+    version = spark.read.text(f"{path}/{CURRENT}").first()[0]
+    return spark.read.parquet(f"{path}/{version}")
+
+
+def write_station_signals(signals: DataFrame, stations: DataFrame, path: str, key: str = "station", mode: str = "errorifexists") -> None:
+    """Two tables: path/signals (key, t and the signals, by year) and path/stations (every station once, with id, place and match).
+
+    A station with signals but no row in stations, or with several, raises ValueError before anything is written.
+    """
+    doubled = stations.groupBy(key).count().filter("count > 1").limit(1).count()
+    unknown = signals.select(key).distinct().join(stations.select(key), key, "left_anti").limit(1).count()
+    if doubled or unknown:
+        raise ValueError("every station with signals must stand in the station table once")
+    cols = [c for c in signals.columns if c.startswith("signal_")]
+    rows = signals.select(key, "t", *[F.col(c).cast("tinyint").alias(c) for c in cols], F.year("t").alias("year"))
+    stations.write.mode(mode).option("compression", "zstd").parquet(f"{path}/stations")
+    write_signals(rows, f"{path}/signals", ["year"], mode)
+
+
+def write_thresholds(clim: DataFrame, thr: DataFrame, path: str, key: str = "station", mode: str = "errorifexists") -> None:
+    """Two tables with a fixed schema: path/clim (key, month, hour, clim) and path/thr (key, threshold, valid_count)."""
+    clim.select(key, F.col("month").cast("smallint"), F.col("hour").cast("smallint"), F.col("clim").cast("float")).write.mode(mode).parquet(f"{path}/clim")
+    thr.select(key, F.col("threshold").cast("float"), F.col("valid_count").cast("int")).write.mode(mode).parquet(f"{path}/thr")
