@@ -237,7 +237,7 @@ def _dense(doc, pos, least: int, width: int):
     return (np.cumsum(marks[:-1]) > 0)[back]
 
 
-def hit_batches(table, least: int, width: int, rows: int = 1000, bits: int = SKETCH_BITS):
+def hit_batches(table, least: int, width: int, rows: int = 500, bits: int = SKETCH_BITS):
     """A function over Arrow batches (id, text) that gives (id, words, kinds, pos, h) of documents that may quote an item.
 
     pos, h: windows that may be an item's and lie among enough others for the easiest of all quotations.
@@ -265,7 +265,7 @@ def hit_batches(table, least: int, width: int, rows: int = 1000, bits: int = SKE
     return run
 
 
-def stretch_batches(batches: Iterator) -> Iterator:
+def stretch_batches(batches: Iterator, rows: int = 300) -> Iterator:
     """Of documents' windows (id, at: dpos and the items (item_id, n, ipos) that have the window) the stretches (id, item_id, lo, hi) that hold enough windows of an item near one diagonal.
 
     Almost all pairs of a document and an item share a stock phrase or two; they are counted away here, before anything of them is moved.
@@ -275,7 +275,7 @@ def stretch_batches(batches: Iterator) -> Iterator:
     import pyarrow.compute as pc
 
     flags = lambda x: x.to_numpy(zero_copy_only=False)
-    for batch in batches:
+    for batch in (b.slice(at, rows) for b in batches for at in range(0, len(b), rows)):
         owner = np.repeat(np.arange(len(batch)), flags(pc.list_value_length(batch.column(1))))
         hits = batch.column(1).flatten()
         dpos, having = flags(hits.field("dpos")).astype(np.int64), hits.field("items")
