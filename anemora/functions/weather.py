@@ -7,6 +7,7 @@ energy unit without its time step.
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -130,21 +131,18 @@ def solar_elevation(lat: Column, lon: Column, t: Column) -> Column:
 def fixed4(x: Column) -> Column:
     """A number of at most three digits before the point with four decimals, rounded by its exact binary value (half to even).
 
-    The nearest multiple is taken first; then 20000 * |x|, as a whole number of 2 ** -52 (below 1: 2 ** -62) and a rest, is held
-    against the two points half way to its neighbours.
+    The nearest multiple is taken first; then 20000 * |x|, as a whole number of 2 ** -52 (below 1: 2 ** -62; below 0.001: 2 ** -72), is
+    held against the two points half way to its neighbours.
     """
     y = F.abs(x)
     n = F.round(y * 1e4).cast("bigint")
-    small = y < 1
-    scaled = y * F.when(small, float(1 << 62)).otherwise(float(1 << 52))
-    whole = F.floor(scaled).cast("bigint")
-    rest = scaled > whole.cast("double")
-    exact = whole.cast("decimal(20,0)") * F.lit(20000).cast("decimal(5,0)")
-    unit = F.when(small, F.lit(1 << 62).cast("decimal(20,0)")).otherwise(F.lit(1 << 52).cast("decimal(20,0)"))
+    by_size = lambda f: F.when(y >= 1, f(52)).when(y >= 1 / 1024, f(62)).otherwise(f(72))
+    exact = F.floor(y * by_size(lambda k: F.lit(float(1 << k)))).cast("bigint").cast("decimal(20,0)") * F.lit(20000).cast("decimal(5,0)")
+    unit = by_size(lambda k: F.lit(Decimal(1 << k)).cast("decimal(22,0)"))
     half = lambda d: (2 * n + d).cast("decimal(10,0)") * unit
     odd = F.pmod(n, F.lit(2)) == 1
-    up = (exact > half(1)) | ((exact == half(1)) & (odd | rest))
-    down = (exact < half(-1)) | ((exact == half(-1)) & odd & ~rest)
+    up = (exact > half(1)) | ((exact == half(1)) & odd)
+    down = (exact < half(-1)) | ((exact == half(-1)) & odd)
     n = n + up.cast("int") - down.cast("int")
     return F.format_string("%s%d.%04d", F.when(x < 0, "-").otherwise(""), F.floor(n / 10000), F.pmod(n, F.lit(10000)))
 

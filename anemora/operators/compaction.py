@@ -135,13 +135,15 @@ def cache_records(files: DataFrame) -> DataFrame:
     )
 
 
-def latest_records(records: DataFrame, part_bytes: int, row_bytes: float) -> DataFrame:
+def latest_records(records: DataFrame, part_bytes: int, total_bytes: int) -> DataFrame:
     """Each record once: the latest written_at holds, then the largest file_id, then the largest line_no.
 
-    A cache is cut by (station, hour) into as many buckets as it has part_bytes; a bucket is what one task ranks.
+    A cache is cut by (station, hour) into as many buckets as it has part_bytes of all total_bytes; a bucket is what one task ranks.
     """
     spark = records.sparkSession
-    sizes = written(records.groupBy(*CACHE_KEY).agg(F.greatest(F.ceil(F.count(F.lit(1)) * row_bytes / part_bytes), F.lit(1)).alias("buckets")), "sizes")
+    rows = written(records.groupBy(*CACHE_KEY).agg(F.count(F.lit(1)).alias("rows")), "sizes")
+    row_bytes = total_bytes / max(1, rows.agg(F.sum("rows")).first()[0] or 0)
+    sizes = rows.select(*CACHE_KEY, F.greatest(F.ceil(F.col("rows") * row_bytes / part_bytes), F.lit(1)).alias("buckets"))
     n, total = sizes.agg(F.count(F.lit(1)), F.sum("buckets")).first()
     cut = records.join(small(sizes, n), CACHE_KEY).withColumn("bucket", F.pmod(F.xxhash64("station", "hour"), F.col("buckets"))).drop("buckets")
     tasks = max(total or 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -162,8 +164,7 @@ def compact_caches(files: DataFrame, target_bytes: int = TARGET_BYTES, open_cost
         lines_at, parts_at = scratch(spark, "lines"), scratch(spark, "parts")
         cache_records(files).write.parquet(lines_at)
         lines = spark.read.parquet(lines_at)
-        row_bytes = folder_bytes(spark, lines_at) / max(1, lines.count())
-        latest_records(lines, target_bytes // 4, row_bytes).select(*columns).write.partitionBy(*CACHE_KEY).parquet(parts_at)
+        latest_records(lines, target_bytes // 4, folder_bytes(spark, lines_at)).select(*columns).write.partitionBy(*CACHE_KEY).parquet(parts_at)
         parts = spark.read.schema(lines.select(*columns).schema).parquet(parts_at)
         fs, at = _path(spark, parts_at)
         caches = [str(f.getPath()) for f in fs.globStatus(_path(spark, parts_at + "/*=*" * len(CACHE_KEY))[1]) or []]

@@ -28,7 +28,7 @@ from anemora.operators.rows import moment
 from anemora.session import once, scratch, written
 
 #: Labelled rows of each variable that the classifier is fitted on, about, and at most but for the chance in drawing them by a hash of row_id.
-TRAIN_ROWS = 50_000
+TRAIN_ROWS = 20_000
 CALIBRATION_SHARE = 0.25
 CONFIDENT = 0.9
 VARS = ("tas", "pr")

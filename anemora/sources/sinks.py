@@ -42,7 +42,7 @@ def backfill(signals: DataFrame, computed: DataFrame, key: list[str], column: st
 
 
 #: Name of the file that tells which version of a replaced table holds.
-CURRENT = "_current"
+CURRENT = "CURRENT"
 
 
 def replace_table(df: DataFrame, path: str) -> None:
