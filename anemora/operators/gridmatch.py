@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anemora.session import written
@@ -207,8 +207,11 @@ def axis_intersection(a: DataFrame, b: DataFrame, index: str, coord: str, tolera
     return left.join(right, ["region", "q"]).filter(F.abs(F.col("ca") - F.col("cb")) <= tolerance).select("region", "index_a", "index_b").distinct()
 
 
-def valid_cells(cube: DataFrame, land: DataFrame | None = None, value: str = "v") -> DataFrame:
-    """Cells with a finite value, on land or with any value above 0."""
+def valid_cells(cube: DataFrame, land: DataFrame | None = None, value: str = "v", probe: int | None = None) -> DataFrame:
+    """Cells with a finite value, on land or with any value above 0; looked for in each region's first `probe` times only, if given."""
+    if probe:
+        times = cube.select("region", "t").distinct().withColumn("k", F.row_number().over(Window.partitionBy("region").orderBy("t"))).filter(F.col("k") <= probe)
+        cube = cube.join(times.drop("k"), ["region", "t"], "left_semi")
     cells = cube.groupBy("region", "idx0", "idx1").agg(F.max((F.col(value).isNotNull() & ~F.isnan(value)).cast("int")).alias("seen"), F.max(F.coalesce(F.col(value) > 0, F.lit(False)).cast("int")).alias("positive"))
     if land is not None:
         cells = cells.join(land.select("region", "idx0", "idx1").distinct().withColumn("land", F.lit(1)), ["region", "idx0", "idx1"], "left")

@@ -84,17 +84,23 @@ def valid_cell_mask(spark, d):
 
 @query(sql("stations", "cube", body=NEAREST + ",\n" + VALID + f""",
 w as (select region, max(idx1) + 1 as width from lo group by 1),
-o as (select a - 3 as di, b - 3 as dj from range(7) x(a), range(7) y(b)),
-c as (select near.station, near.region, near.idx0 + di as idx0, (((near.idx1 + dj) % width) + width) % width as idx1, greatest(abs(di), abs(dj)) as ring from near join w on w.region = near.region, o),
-k as (select c.station, c.region, min({{'ring': ring, 'd': round(greatest(abs(la.lat - s.lat), {GAP.format(a="lo.lon", b="s.lon")}), 9), 'i': c.idx0, 'j': c.idx1}}) as m from c
-  join valid v on v.region = c.region and v.idx0 = c.idx0 and v.idx1 = c.idx1 join la on la.region = c.region and la.idx0 = c.idx0 join lo on lo.region = c.region and lo.idx1 = c.idx1
-  join stations s on s.station = c.station group by 1, 2)
+k as (select near.station, near.region, min({{'ring': greatest(abs(v.idx0 - near.idx0), least((v.idx1 - near.idx1 + width) % width, (near.idx1 - v.idx1 + width) % width)), 'd': round(greatest(abs(la.lat - s.lat), {GAP.format(a="lo.lon", b="s.lon")}), 9), 'i': v.idx0, 'j': v.idx1}}) as m
+  from near join w on w.region = near.region join valid v on v.region = near.region join la on la.region = v.region and la.idx0 = v.idx0 join lo on lo.region = v.region and lo.idx1 = v.idx1 join stations s on s.station = near.station group by 1, 2)
 select station, region, cast(m.i as int) as idx0, cast(m.j as int) as idx1, cast(m.ring as int) as ring from k"""))
 def match_nearest_valid(spark, d):
     s, g = placed(spark, d), cells(spark, d)
     return gridmatch.nearest_valid(gridmatch.nearest_regular(s, g), s, g, gridmatch.valid_cells(cube(spark, d)))
 
 
+@query(sql("cube", body="""times as (select region, t, row_number() over (partition by region order by t) as k from (select distinct region, t from cube)),
+probed as (select cube.* replace (v - 290 as v) from cube join times using (region, t) where k <= 24)
+select region, idx0, idx1 from probed group by 1, 2, 3 having count(v) > 0 and (max(v) > 0 or idx0 % 3 = 0)"""))
+def valid_cell_mask_land(spark, d):
+    """The mask of differences to 290 K in each region's first 24 months; every third row of a grid is land."""
+    x = cube(spark, d).withColumn("v", F.col("v") - 290)
+    return gridmatch.valid_cells(x, cells(spark, d).filter("idx0 % 3 = 0"), probe=24)
+
+
 HOLES = "floor(idx0 / 12) % 2 = 0 and floor(idx1 / 14) % 2 = 0"
 
 
@@ -116,17 +122,17 @@ def gather_nearest(spark, d):
     return gridmatch.gather(match, cube(spark, d)).withColumn("v", F.round("v", 6))
 
 
-@query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(sum(weight * v) / nullif(sum(case when v is not null then weight end), 0) + 3e-11, 9) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
+@query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(sum(weight * v) / nullif(sum(case when v is not null then weight end), 0) + 3e-9, 6) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
 def gather_weighted(spark, d):
-    return gridmatch.gather(gridmatch.bilinear(regular(spark, d), cells(spark, d)), cube(spark, d)).withColumn("v", F.round(F.col("v") + TIE, 9))
+    return gridmatch.gather(gridmatch.bilinear(regular(spark, d), cells(spark, d)), cube(spark, d)).withColumn("v", F.round(F.col("v") + 100 * TIE, 6))
 
 
-@query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(case when count(v) = count(*) then sum(weight * v) end + 3e-11, 9) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
+@query(sql("stations", "cube", body=BILINEAR + "\nselect station, t, round(case when count(v) = count(*) then sum(weight * v) end + 3e-9, 6) as v from bridge join cube using (region, idx0, idx1) group by 1, 2"))
 def gather_weighted_strict(spark, d):
-    return gridmatch.gather(gridmatch.bilinear(regular(spark, d), cells(spark, d)), cube(spark, d), how="strict").withColumn("v", F.round(F.col("v") + TIE, 9))
+    return gridmatch.gather(gridmatch.bilinear(regular(spark, d), cells(spark, d)), cube(spark, d), how="strict").withColumn("v", F.round(F.col("v") + 100 * TIE, 6))
 
 
-# the same over all months and from the readings; too many rows for SQL
+# the same from all readings, with the units that the classifier is sure of; SQL cannot follow that
 
 
 @query()

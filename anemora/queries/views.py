@@ -65,16 +65,22 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "grid_cell").distinct()
 
 
+#: Sources whose temperatures are in kelvin where a row tells no unit of its own.
+KELVIN = ("regional_bcsd", "china_cmfd_bcsd", "cordex_nam12", "era5land_raw")
+
+
 def cube(spark: SparkSession, d: str) -> DataFrame:
-    """(region, idx0, idx1, t, v) on all grids at one time: of each region only the first month with temperatures, and of that the number of rows.
+    """(region, idx0, idx1, t, v) on all grids: the mean temperature (K) of every month of a region, from the archives' readings in kelvin, with a cell's own share.
 
-    A cheap cube that SQL can follow; monthly_cube has all months and the readings. A cell has no value where its index sum divides by seven.
+    A cell has no value where its index sum divides by seven.
     """
-    w = table(spark, d, "weather_bundle").dropDuplicates(["row_id"]).filter((F.col("var_name") == "tas") & F.col("region").isNotNull())
-    days = w.groupBy("region", F.date_trunc("month", "t").cast("timestamp_ntz").alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    some = days.groupBy("region").agg(F.min(F.struct("t", "n")).alias("m")).select("region", "m.t", "m.n")
-    v = F.when((F.col("idx0") + F.col("idx1")) % 7 != 0, F.col("n") + F.col("idx0") * 0.5 + F.col("idx1") * 0.25)
-    return cells(spark, d).join(some, "region").select("region", "idx0", "idx1", "t", v.cast("double").alias("v"))
+    w = table(spark, d, "weather_bundle").filter((F.col("var_name") == "tas") & F.col("region").isNotNull() & F.col("source").isin(*KELVIN))
+    w = w.filter((F.coalesce(F.trim("units"), F.lit("")) == "") & (F.coalesce(F.trim("reading_text"), F.lit("")) == ""))
+    w = latest_rows(w.select("row_id", "region", "t", "reading", "received_at"), ["row_id", "region", "t"], ["reading"], "received_at")
+    months = w.groupBy("region", F.date_trunc("month", "t").cast("timestamp_ntz").alias("t")).agg(F.round(F.avg(finite(F.col("reading"))), 3).alias("mean"))
+    months = written(months, "months")
+    v = F.when((F.col("idx0") + F.col("idx1")) % 7 != 0, F.col("mean") + F.col("idx0") * 0.5 + F.col("idx1") * 0.25)
+    return cells(spark, d).join(small(months, months.count()), "region").select("region", "idx0", "idx1", "t", v.cast("double").alias("v"))
 
 
 def monthly_cube(spark: SparkSession, d: str) -> DataFrame:
@@ -110,9 +116,10 @@ panel as (select axis.station, axis.t, hourly.v from axis left join hourly on ho
   from station_match where abs(lat) <= 90 and abs(lon) <= 540)""",
     "site": """site as (select substr(station_id, 1, 3) as p, min({{'m': station, 'region': region, 'lat': lat, 'lon': lon, 'y': activation_year}}) as s from stations where tech = 'solar' and region is not null group by 1)""",
     "cells": "cells as (select distinct region, grid_kind, idx0, idx1, lat, lon from grid_cell)",
-    "cube": """days as (select region, date_trunc('month', t) as t, count(distinct row_id) as n from weather_bundle where var_name = 'tas' and region is not null group by 1, 2),
-firsts as (select region, t, n from days qualify row_number() over (partition by region order by t) = 1),
-cube as (select c.region, c.idx0, c.idx1, s.t, case when (c.idx0 + c.idx1) % 7 <> 0 then cast(s.n + c.idx0 * 0.5 + c.idx1 * 0.25 as double) end as v from cells c join firsts s using (region))""",
+    "cube": """kelvin as (select region, t, arg_max(reading, received_at) as reading from weather_bundle where var_name = 'tas' and region is not null and source in ('regional_bcsd', 'china_cmfd_bcsd', 'cordex_nam12', 'era5land_raw')
+  and coalesce(trim(units), '') = '' and coalesce(trim(reading_text), '') = '' group by row_id, region, t),
+months as (select region, date_trunc('month', t) as t, round(avg(case when isfinite(reading) then reading end), 3) as mean from kelvin group by 1, 2),
+cube as (select c.region, c.idx0, c.idx1, s.t, case when (c.idx0 + c.idx1) % 7 <> 0 then cast(s.mean + c.idx0 * 0.5 + c.idx1 * 0.25 as double) end as v from cells c join months s using (region))""",
 }
 
 
