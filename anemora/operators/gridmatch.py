@@ -1,7 +1,7 @@
 """Stations on grids: nearest and bilinear matching, weighted gathering, threshold lookup, grid comparison.
 
-Regular grids are matched axis by axis, against the axes' distinct values and never against all cells, without moving a station. Two-dimensional
-grids meet the stations by an equi-join on degree tiles. Of equally near values the one with the smaller index wins.
+Regular grids are matched axis by axis, without moving a station: each axis is laid out in bins of its mean step, and a
+station looks at the few values that can answer in its bin. Two-dimensional grids meet the stations by an equi-join on degree tiles. Of equally near values the one with the smaller index wins.
 Stations without coordinates have no row in a match. Empty grids give empty matches.
 """
 
@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anemora.session import written
+from anemora.session import small, written
 
 #: Degrees within which a station counts as lying on its cell.
 MAX_DIST = 0.15
@@ -29,9 +29,57 @@ def axes(cells: DataFrame) -> DataFrame:
     return regular.groupBy("region").agg(axis("lat", "idx0").alias("lats"), axis("lon", "idx1").alias("lons"))
 
 
+#: Values of all axes together up to which the bins are broadcast; some 50 bytes each.
+AXIS_VALUES = 1_000_000
+EPS = 1e-6
+
+
+def _axis_bins(values: DataFrame, name: str, bracket: bool, circular: bool) -> DataFrame:
+    """(region, <name>): an axis as struct(x0, step, bins); bins[k] holds the values (g, i, and of the next one ng, ni) that can answer between x0 + k * step and the next bin.
+
+    values: region, g, i. Answers are the nearest value, or with bracket the last one at or below. A circular axis goes on
+    beyond both its ends; of another one the first and last bin also stand for everything beyond.
+    """
+    own = values.groupBy("region", F.round("g", 9).alias("r")).agg(F.min(F.struct("i", "g")).alias("m")).select("region", "m.g", "m.i")
+    if circular:
+        own = own.withColumn("g", F.explode(F.array(*[F.col("g") + d for d in (-360.0, 0.0, 360.0)])))
+    order, whole = Window.partitionBy("region").orderBy("g"), Window.partitionBy("region")
+    own = own.withColumns({"pg": F.lag("g").over(order), "ng": F.lead("g").over(order), "ni": F.lead("i").over(order), "a": F.min("g").over(whole), "b": F.max("g").over(whole), "n": F.count(F.lit(1)).over(whole)})
+    step = F.when(F.col("n") > 1, (F.col("b") - F.col("a")) / (F.col("n") - 1)).otherwise(1.0)
+    last = F.col("n").cast("int") + 1
+    k = lambda x: F.greatest(F.lit(0), F.least(last, F.floor((x - F.col("a")) / step).cast("int") + 1))
+    low = k((F.col("g") if bracket else (F.col("g") + F.col("pg")) / 2) - EPS)
+    high = k((F.col("ng") if bracket else (F.col("g") + F.col("ng")) / 2) + EPS)
+    low, high = F.when(F.col("pg").isNull(), 0).otherwise(low), F.when(F.col("ng").isNull(), last).otherwise(high)
+    spread = own.select("region", "a", step.alias("step"), F.struct("g", "i", "ng", "ni").alias("v"), F.explode(F.sequence(low, high)).alias("k"))
+    bins = spread.groupBy("region", "a", "step", "k").agg(F.collect_list("v").alias("v")).groupBy("region", "a", "step").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("bins"))
+    return bins.select("region", F.struct((F.col("a") - F.col("step")).alias("x0"), "step", F.transform("bins", lambda x: x["v"]).alias("bins")).alias(name))
+
+
+def _in_bin(axis: str, x: Column) -> Column:
+    """The values of an axis that can answer for x."""
+    k = F.floor((x - F.col(f"{axis}.x0")) / F.col(f"{axis}.step")).cast("int")
+    return F.element_at(F.col(f"{axis}.bins"), F.greatest(F.lit(0), F.least(F.size(f"{axis}.bins") - 1, k)) + 1)
+
+
+def _axis_values(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    regular = cells.filter((F.col("grid_kind") == "regular_latlon") & F.col("region").isNotNull())
+    return tuple(regular.select("region", F.col(g).alias("g"), F.col(i).alias("i")).distinct() for g, i in (("lat", "idx0"), ("lon", "idx1")))
+
+
+def _with_bins(stations: DataFrame, cells: DataFrame, bracket: bool) -> DataFrame:
+    """Stations with their region's axes (lats, lons) in bins. The table of axes is counted, and broadcast up to AXIS_VALUES values."""
+    lats, lons = _axis_values(cells)
+    both = written(_axis_bins(lats, "lats", bracket, False).join(_axis_bins(lons, "lons", bracket, True), "region"), "axes")
+    n = both.agg(F.sum(F.size("lats.bins") + F.size("lons.bins"))).first()[0] or 0
+    return stations.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).join(small(both, n, AXIS_VALUES), "region")
+
+
 def _on_axes(stations: DataFrame, cells: DataFrame) -> DataFrame:
-    """Stations with their region's axes. A region's axes are a row of at most a few thousand numbers; the table is broadcast."""
-    return stations.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).join(F.broadcast(axes(cells)), "region")
+    """Stations with their region's axes as arrays (see axes)."""
+    table = written(axes(cells), "axes")
+    n = table.agg(F.sum(F.size("lats") + F.size("lons"))).first()[0] or 0
+    return stations.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).join(small(table, n, AXIS_VALUES), "region")
 
 
 def nearest_regular(stations: DataFrame, cells: DataFrame, key: str = "station", max_dist: float = MAX_DIST) -> DataFrame:
@@ -39,8 +87,9 @@ def nearest_regular(stations: DataFrame, cells: DataFrame, key: str = "station",
 
     stations: key, region, lat, lon. dist_deg is the larger of the two differences. No station row is shuffled.
     """
-    near = lambda axis, d: F.array_min(F.transform(axis, lambda x: F.struct(F.round(d(x["g"]), 9).alias("d"), x["i"].alias("i"))))
-    both = _on_axes(stations, cells).withColumns({"a": near("lats", lambda g: F.abs(g - F.col("lat"))), "b": near("lons", lambda g: lon_diff(g, F.col("lon")))})
+    near = lambda axis, x, d: F.array_min(F.transform(_in_bin(axis, x), lambda v: F.struct(F.round(d(v["g"]), 9).alias("d"), v["i"].alias("i"))))
+    lat, lon = F.col("lat"), F.col("lon")
+    both = _with_bins(stations, cells, False).select(key, "region", near("lats", lat, lambda g: F.abs(g - lat)).alias("a"), near("lons", F.pmod(lon + 180.0, F.lit(360.0)) - 180.0, lambda g: lon_diff(g, lon)).alias("b"))
     return both.select(key, "region", F.col("a.i").alias("idx0"), F.col("b.i").alias("idx1"), F.greatest("a.d", "b.d").alias("dist_deg")).withColumn("valid", F.col("dist_deg") <= max_dist)
 
 
@@ -95,17 +144,16 @@ def bilinear(stations: DataFrame, cells: DataFrame, key: str = "station") -> Dat
     fault = F.raise_error(F.lit("bilinear weights need a regular grid")).cast("double")
     stations = stations.join(kinds, "region", "left").withColumn("lat", F.when(F.col("turned") == 1, fault).otherwise(F.col("lat"))).drop("turned")
     round_ = lambda x: F.pmod(x, F.lit(360.0))
-    both = _on_axes(stations, cells).withColumn("lon", round_(F.col("lon"))).withColumn("lons", F.array_sort(F.transform("lons", lambda x: F.struct(round_(x["g"]).alias("g"), x["i"].alias("i")))))
-    low = lambda axis, c: F.array_max(F.filter(axis, lambda x: x["g"] <= F.col(c)))
-    high = lambda axis, c: F.array_min(F.filter(axis, lambda x: x["g"] > F.col(c)))
-    both = both.withColumns(
-        {
-            "s": F.coalesce(low("lats", "lat"), F.array_min("lats")),
-            "n": F.coalesce(high("lats", "lat"), F.array_max("lats")),
-            "w": F.coalesce(low("lons", "lon"), F.array_max("lons")),
-            "e": F.coalesce(high("lons", "lon"), F.array_min("lons")),
-        }
-    )
+    both = _with_bins(stations, cells, True).withColumn("lon", round_(F.col("lon") + 180.0) - 180.0)
+    held = lambda axis, c: F.coalesce(F.array_max(F.filter(_in_bin(axis, F.col(c)), lambda v: v["g"] <= F.col(c))), F.array_min(_in_bin(axis, F.col(c))))
+    both = both.withColumns({"y": held("lats", "lat"), "x": held("lons", "lon")})
+    # before the first latitude both neighbours are the first, beyond the last one both the last
+    inside = (F.col("y.g") <= F.col("lat")) & F.col("y.ng").isNotNull()
+    pair = lambda g, i: F.struct(g.alias("g"), i.alias("i"))
+    both = both.select(
+        key, "region", "lat", "lon", pair(F.col("y.g"), F.col("y.i")).alias("s"), pair(F.when(inside, F.col("y.ng")).otherwise(F.col("y.g")), F.when(inside, F.col("y.ni")).otherwise(F.col("y.i"))).alias("n"),
+        pair(F.col("x.g"), F.col("x.i")).alias("w"), pair(F.col("x.ng"), F.col("x.ni")).alias("e"),
+    )
     clip = lambda x: F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
     span = round_(F.col("e.g") - F.col("w.g"))
     fy = clip(F.coalesce(F.try_divide(F.col("lat") - F.col("s.g"), F.col("n.g") - F.col("s.g")), F.lit(0.0)))
@@ -124,6 +172,10 @@ def nearest_valid(matched: DataFrame, stations: DataFrame, cells: DataFrame, val
     not. valid: region, idx0, idx1. The first `rings` rings are looked up cell by cell, farther ones along the grid's rows; a
     station has no row only where its grid has no valid cell at all.
     """
+    good = valid.select("region", "idx0", "idx1").distinct()
+    cols = [key, "region", "idx0", "idx1"]
+    standing = matched.select(*cols).join(good, ["region", "idx0", "idx1"], "left_semi").select(*cols, F.lit(0).alias("ring"))
+    matched = matched.select(*cols).join(good, ["region", "idx0", "idx1"], "left_anti")
     step = F.sequence(F.lit(-rings), F.lit(rings))
     near = _on_axes(matched.select(key, "region", F.col("idx0").alias("i0"), F.col("idx1").alias("j0")).join(stations.select(key, "lat", "lon"), key), cells)
     near = near.withColumn("width", F.array_max(F.transform("lons", lambda x: x["i"])) + 1)
@@ -132,10 +184,10 @@ def nearest_valid(matched: DataFrame, stations: DataFrame, cells: DataFrame, val
     at = lambda axis, i: F.try_element_at(F.filter(axis, lambda x: x["i"] == F.col(i)), F.lit(1))["g"]
     dist = F.greatest(F.abs(at("lats", "idx0") - F.col("lat")), lon_diff(at("lons", "idx1"), F.col("lon")))
     near = near.withColumn("d", F.round(dist, 9)).select(key, "region", "idx0", "idx1", "ring", "d").filter(F.col("d").isNotNull())
-    near = near.join(valid.select("region", "idx0", "idx1").distinct(), ["region", "idx0", "idx1"])
+    near = near.join(good, ["region", "idx0", "idx1"])
     best = near.groupBy(key, "region").agg(F.min(F.struct("ring", "d", "idx0", "idx1")).alias("m"))
     best = written(best.select(key, "region", "m.idx0", "m.idx1", "m.ring"), "rings")
-    return best.unionByName(_beyond_rings(matched.join(best, [key, "region"], "left_anti"), stations, cells, valid, key))
+    return standing.unionByName(best).unionByName(_beyond_rings(matched.join(best, [key, "region"], "left_anti"), stations, cells, valid, key))
 
 
 def _beyond_rings(left: DataFrame, stations: DataFrame, cells: DataFrame, valid: DataFrame, key: str) -> DataFrame:

@@ -154,11 +154,16 @@ def in_box(lat: Column, lon: Column, box: tuple[float, float, float, float]) ->
     return lat.between(box[0], box[1]) & lon.between(box[2], box[3])
 
 
+#: Height in degrees of the bands that edges are sorted into.
+BAND = 0.1
+
+
 def in_polygons(stations: DataFrame, edges: DataFrame, key: str = "station") -> DataFrame:
     """(key, region) of stations strictly inside a polygon given by its edges (region, x1, y1, x2, y2).
 
-    Even-odd rule over all rings of a region; a point on an edge is outside. Stations meet only the edges of regions
-    whose box holds them, by one-degree tiles of the boxes.
+    Even-odd rule over all rings of a region; a point on an edge is outside. Stations meet only regions whose box holds
+    them, by one-degree tiles of the boxes, and of those only the edges that cross their band of BAND degrees of latitude:
+    no other edge can be crossed on the way west or hold the station.
     """
     box = edges.groupBy("region").agg(F.min(F.least("x1", "x2")).alias("w"), F.max(F.greatest("x1", "x2")).alias("e"), F.min(F.least("y1", "y2")).alias("s"), F.max(F.greatest("y1", "y2")).alias("n"))
     tiles = box.withColumn("ty", F.explode(F.sequence(F.floor("s").cast("int"), F.floor("n").cast("int")))).withColumn("tx", F.explode(F.sequence(F.floor("w").cast("int"), F.floor("e").cast("int"))))
@@ -169,7 +174,9 @@ def in_polygons(stations: DataFrame, edges: DataFrame, key: str = "station") ->
     on = (F.abs(cross) < 1e-12) & x.between(F.least("x1", "x2"), F.greatest("x1", "x2")) & y.between(F.least("y1", "y2"), F.greatest("y1", "y2"))
     spans = (F.col("y1") > y) != (F.col("y2") > y)
     hit = spans & (x < F.col("x1") + F.try_divide((y - F.col("y1")) * (F.col("x2") - F.col("x1")), F.col("y2") - F.col("y1")))
-    return inside.join(F.broadcast(edges), "region").groupBy(key, "region").agg(F.sum(hit.cast("int")).alias("hits"), F.max(on.cast("int")).alias("edge")).filter("hits % 2 = 1 and edge = 0").select(key, "region")
+    band = lambda c: F.floor(c / BAND).cast("int")
+    crossing = edges.withColumn("band", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
+    return inside.withColumn("band", band(F.col("lat"))).join(crossing, ["region", "band"]).groupBy(key, "region").agg(F.sum(hit.cast("int")).alias("hits"), F.max(on.cast("int")).alias("edge")).filter("hits % 2 = 1 and edge = 0").select(key, "region")
 
 
 def box_edges(boxes: DataFrame) -> DataFrame:

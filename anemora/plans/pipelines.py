@@ -22,10 +22,13 @@ def precompute_thresholds(series: DataFrame, station: str = "station", steps: in
 
 
 def reuse_thresholds(wanted: DataFrame, known: DataFrame, computed: DataFrame, key: list[str]) -> DataFrame:
-    """Thresholds of wanted keys: known ones as they are, the others from computed; `reused` tells which."""
+    """Thresholds of wanted keys: known ones as they are, the others from computed; `reused` tells which.
+
+    computed need hold the keys only that known lacks, so that nothing is worked out in vain.
+    """
     cols = [*key, "threshold", "valid_count"]
-    hit = wanted.select(*key).distinct().join(known.select(*cols), key).withColumn("reused", F.lit(1))
-    miss = wanted.select(*key).distinct().join(known.select(*key), key, "left_anti").join(computed.select(*cols), key).withColumn("reused", F.lit(0))
+    hit = known.select(*cols).join(wanted.select(*key), key, "left_semi").withColumn("reused", F.lit(1))
+    miss = computed.select(*cols).join(known.select(*key), key, "left_anti").join(wanted.select(*key), key, "left_semi").withColumn("reused", F.lit(0))
     return hit.unionByName(miss)
 
 

@@ -340,9 +340,15 @@ k as (select tech, lat_idx, lon_idx, min({'a': threshold, 'b': valid_count}) as
 CELL = ["tech", "lat_idx", "lon_idx"]
 
 
-def _computed(spark, d):
-    v = latest(table(spark, d, "threshold_clim"), [*CELL, "run_day", "month_no", "hour_no"], "clim", "loaded_at").filter(F.col("clim").isNotNull() & ~F.isnan("clim"))
-    return v.groupBy(*CELL).agg(F.round(F.percentile(F.col("clim").cast("double"), F.lit(0.05)), 6).alias("threshold"), F.count(F.lit(1)).alias("valid_count"))
+def _clim(spark, d):
+    v = latest(table(spark, d, "threshold_clim"), [*CELL, "run_day", "month_no", "hour_no"], "clim", "loaded_at")
+    return v.filter(F.col("clim").isNotNull() & ~F.isnan("clim"))
+
+
+def _computed(values):
+    """5 % thresholds; equal values are counted first, so that a cell comes as its different values."""
+    n = values.groupBy(*CELL, F.col("clim").cast("double").alias("clim")).agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy(*CELL).agg(F.round(F.percentile("clim", F.lit(0.05), F.col("n")), 6).alias("threshold"), F.sum("n").alias("valid_count"))
 
 
 def _known(spark, d):
@@ -355,13 +361,14 @@ select c.tech, c.lat_idx, c.lon_idx, round(case when k.m is null then c.threshol
 from c left join k using (tech, lat_idx, lon_idx)""")
 def thr_reuse(spark, d):
     """Recorded 5 % thresholds where there are any, computed ones for the other cells."""
-    c = _computed(spark, d)
-    return pipelines.reuse_thresholds(c, _known(spark, d), c, CELL).withColumn("threshold", F.round("threshold", 6))
+    values, known = _clim(spark, d), _known(spark, d)
+    computed = _computed(values.join(known.select(*CELL), CELL, "left_anti"))
+    return pipelines.reuse_thresholds(values.select(*CELL), known, computed, CELL).withColumn("threshold", F.round("threshold", 6))
 
 
 @query("with " + CLIM_CELLS + " select c.tech, c.lat_idx, c.lon_idx from c where not exists (select 1 from k where k.tech = c.tech and k.lat_idx = c.lat_idx and k.lon_idx = c.lon_idx)")
 def thr_missing(spark, d):
-    return sinks.open_keys(_computed(spark, d).select(*CELL), _known(spark, d), CELL)
+    return sinks.open_keys(_clim(spark, d).select(*CELL).distinct(), _known(spark, d), CELL)
 
 
 @query("select distinct tech, lat_idx, lon_idx, pctl from threshold_grid where threshold is null or isnan(threshold) or valid_count is null or valid_count <= 0")
