@@ -17,11 +17,17 @@ def open_keys(wanted: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
 
 def write_signals(signals: DataFrame, path: str, partitions: list[str] | None = None, mode: str = "errorifexists") -> None:
     """Signals by partition. mode: 'ignore' skips an existing output, 'errorifexists' refuses, 'overwrite' replaces the partitions at hand."""
-    by = partitions or [c for c in PARTITIONS if c in signals.columns]
+    by = [c for c in PARTITIONS if c in signals.columns] if partitions is None else partitions
     writer = signals.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def write_weather(weather: DataFrame, path: str, keys: list[str], partitions: list[str] | None = None, mode: str = "errorifexists") -> None:
+    """Canonical weather as 32-bit floats with a fixed schema: keys, t, temp_c, wind_ms, precip_mmh, rsds, rh_pct, dust_aod; missing columns are null."""
+    values = [(F.col(c) if c in weather.columns else F.lit(None)).cast("float").alias(c) for c in ("temp_c", "wind_ms", "precip_mmh", "rsds", "rh_pct", "dust_aod")]
+    write_signals(weather.select(*keys, "t", *values, *[c for c in partitions or [] if c not in keys]), path, partitions or [], mode)
+
+
 def run_metadata(spark: SparkSession, attributes: dict[str, str]) -> DataFrame:
     """(key, value) of a run's provenance."""
     return spark.createDataFrame(sorted(attributes.items()), "key string, value string")

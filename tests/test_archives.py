@@ -141,3 +141,41 @@ def test_two_tables_of_signals(spark, tmp_path):
 def test_bridge_faults(spark):
     rows = spark.createDataFrame([(1, 0.5), (1, 0.5), (2, 0.5)], "station int, weight double")
     assert [r["station"] for r in pipelines.bridge_faults(rows).collect()] == [2]
+
+
+def test_layouts(spark, tmp_path):
+    root = tmp_path / "bcsd"
+    for name in ("tas_3h_bcsd_on_0p1deg_R_M_ssp245_2015.parquet", "tas_old_R_M_ssp245_x.parquet", "hurs_any_ssp245_z.parquet"):
+        at = root / "M" / "R" / "M" / name
+        v = name.split("_")[0]
+        spark.createDataFrame([(datetime(2020, 1, 1), 1.0, 2.0, float(len(name)))], f"valid_time timestamp_ntz, latitude double, longitude double, {v}_bcsd double").write.parquet(str(at))
+    spark.createDataFrame([(datetime(2020, 1, 1), 1.0, 2.0, 9.0)], "time timestamp_ntz, lat double, lon double, d2m double").write.parquet(str(tmp_path / "other" / "M" / "R" / "M" / "d2m_q_ssp245.parquet"))
+    names = dict(model="M", region="R", scenario="ssp245")
+    rows = readers.variable_rows(spark, {None: str(root), "d2m": str(tmp_path / "other")}, "regional_bcsd", ["tas", "hurs", "d2m"], **names)
+    assert sorted(map(tuple, rows.select("lat", "lon", "var_name", "value").collect())) == [(1.0, 2.0, "d2m", 9.0), (1.0, 2.0, "hurs", 25.0), (1.0, 2.0, "tas", 45.0)]
+    with pytest.raises(FileNotFoundError):
+        readers.variable_rows(spark, {None: str(root)}, "regional_bcsd", ["pr"], **names)
+    assert readers.layout_paths("/r", "era5land_raw", var="tp", year=2020, month=3) == ["/r/ERA5_land/global/tp/tp_2020_03*"]
+    assert len(readers.layout_paths("/r", "capacity_factor", model="M", region="R", tech="wind", scenario="s", years="2015-2060")) == 4
+
+
+def test_polygons_from_geojson(spark, tmp_path):
+    import json
+
+    square = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
+    hole = [[1, 1], [2, 1], [2, 2], [1, 2], [1, 1]]
+    feature = lambda name, kind, c: {"type": "Feature", "properties": {"NAME": name} if name else {}, "geometry": {"type": kind, "coordinates": c}}
+    features = [feature("A", "Polygon", [square, hole]), feature("B", "MultiPolygon", [[[[x + 10, y] for x, y in square]], [[[x + 20, y] for x, y in square]]]), feature("C", "Point", [0, 0]), feature(None, "Polygon", [square])]
+    (tmp_path / "x.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
+    edges = readers.polygon_edges(spark, str(tmp_path / "x.json"))
+    assert edges.groupBy("region").count().orderBy("region").collect() == [("A", 8), ("B", 8)]
+    places = spark.createDataFrame([(1, 3.0, 3.0), (2, 1.5, 1.5), (3, 2.0, 23.0), (4, 2.0, 14.0), (5, 2.0, 9.0), (6, None, 1.0), (7, 0.0, 2.0)], "station int, lat double, lon double")
+    assert sorted(map(tuple, S.in_polygons(places, edges).collect())) == [(1, "A"), (3, "B")]
+
+
+def test_weather_written_and_read(spark, tmp_path):
+    at = str(tmp_path / "w")
+    x = spark.createDataFrame([(1, datetime(2020, 1, 1), 20.5, 2000.0)], "station int, t timestamp_ntz, temp_c double, rsds double")
+    sinks.write_weather(x, at, ["station"])
+    r = readers.station_weather(spark, at).first()
+    assert (r["temp_c"], r["rsds"], r["wind_ms"]) == (20.5, 0.0, None)
