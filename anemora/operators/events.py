@@ -60,6 +60,15 @@ def skipped(df: DataFrame, tech: str, ruleset: str = "current") -> dict[str, str
     return {r.name: next(c for c in r.requires if c not in df.columns) for r in rules(tech, ruleset) if set(r.requires) - set(df.columns)}
 
 
+def readiness(df: DataFrame, tech: str, ruleset: str = "current") -> DataFrame:
+    """(event, reason, usable): for every event of a technology the first column it lacks (null if none) and the rows that have all its values."""
+    lacking = skipped(df, tech, ruleset)
+    ready = {r.name: reduce(lambda a, b: a & b, [finite(F.col(c)).isNotNull() for c in r.requires]) for r in rules(tech, ruleset) if r.name not in lacking}
+    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.when(c, 1)).alias(e) for e, c in ready.items()])
+    row = lambda r: F.struct(F.lit(r.name).alias("event"), F.lit(lacking.get(r.name)).cast("string").alias("reason"), (F.col(r.name) if r.name in ready else F.lit(0).cast("bigint")).alias("usable"))
+    return counts.select(F.inline(F.array(*[row(r) for r in rules(tech, ruleset)])))
+
+
 def with_signals(df: DataFrame, tech: str, ruleset: str = "current", prefix: str = "signal_", require: tuple[str, ...] = ()) -> DataFrame:
     """df with one 0/1 column per event of a technology that its columns allow."""
     lacking = skipped(df, tech, ruleset)

@@ -92,14 +92,19 @@ def interpolate(df: DataFrame, wanted: DataFrame, value: str = "v", station: str
     return out.select(station, "t", y.alias(value))
 
 
-def deaccumulate(df: DataFrame, value: str = "acc", station: str = "station", first: str = "zero", out: str = "v") -> DataFrame:
+def deaccumulate(df: DataFrame, value: str = "acc", station: str = "station", first: str = "zero", out: str = "v", step_hours: float | None = None) -> DataFrame:
     """Amounts per step of a field that adds up over the day and starts again after hour 0.
 
     At hour 1, and where the difference is negative, the amount is the running total itself; the first step of a
-    station is 0 (first='zero'), missing ('nan') or its total ('current'). No amount is negative.
+    station is 0 (first='zero'), missing ('nan') or its total ('current'). With step_hours a step whose predecessor is not
+    there (a month before it that is missing) counts as a first one; without it the total is carried over any gap. No
+    amount is negative.
     """
     before = F.lag(value).over(Window.partitionBy(station).orderBy("t"))
     has = F.lag(F.lit(1)).over(Window.partitionBy(station).orderBy("t")).isNotNull()
+    if step_hours:
+        gap = F.timestamp_diff("SECOND", F.lag("t").over(Window.partitionBy(station).orderBy("t")), F.col("t"))
+        has = F.coalesce(gap == round(3600 * step_hours), F.lit(False))
     start = {"zero": F.lit(0.0), "nan": F.lit(None).cast("double"), "current": F.col(value)}[first]
     x = F.when(F.hour("t") == 1, F.col(value)).when(~has, start).otherwise(F.col(value) - before)
     return df.withColumn("x", x).withColumn(out, F.when(F.col("x").isNotNull(), F.greatest(F.when(F.col("x") < 0, F.col(value)).otherwise(F.col("x")), F.lit(0.0)))).drop("x")
@@ -131,6 +136,16 @@ def missing_months(df: DataFrame, expected: DataFrame, key: list[str] | None = N
     return expected.join(there, [*(key or []), "year", "month"], "left_anti")
 
 
+def faults(df: DataFrame, value: str = "v", station: str = "station", step_hours: float = 1.0) -> DataFrame:
+    """(station, rows, doubled, gaps, missing) of every series: rows, times that come again, steps of another length, values that are missing."""
+    each = df.groupBy(station, "t").agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("known"))
+    seconds = F.timestamp_diff("SECOND", F.col("before"), F.col("t"))
+    parts = previous_time(each, station)
+    return parts.groupBy(station).agg(
+        F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("doubled"), F.count(F.when(seconds != round(3600 * step_hours), 1)).alias("gaps"), F.sum(F.col("n") - F.col("known")).alias("missing")
+    )
+
+
 def require_months(df: DataFrame, expected: DataFrame) -> DataFrame:
     """expected, or ValueError naming the first month of which df has no row."""
     lack = missing_months(df, expected).orderBy("year", "month").first()

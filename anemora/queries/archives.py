@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from anemora.functions.weather import finite
-from anemora.operators import gridmatch, lowres, stations as S, timeaxis
+from anemora.operators import events, gridmatch, lowres, stations as S, timeaxis
 from anemora.operators.rows import latest_rows
 from anemora.plans import pipelines
-from anemora.queries.views import cells, panel, sql, stations, wrap_sql
+from anemora.queries.views import cells, obs, panel, sites, sql, stations, wrap_sql
 from anemora.queries.weather import PLAIN, RUNNING, _accumulated
-from anemora.session import table
-from anemora.sources import adapters
+from anemora.session import scratch, table
+from anemora.sources import adapters, sinks
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -184,8 +183,6 @@ b as (select station, date_trunc('hour', t) as t, round(avg(cast(temp_c as doubl
 select coalesce(a.station, b.station) as station, coalesce(a.t, b.t) as t, round(case when a.station is not null then a.temp_c else b.temp_c end, 6) as temp_c, case when a.station is not null then a.wind_ms else b.wind_ms end as wind_ms from a full join b on a.station = b.station and a.t = b.t"""))
 def merge_weather_times(spark, d):
     """Two weather tables with other times and variables: union of times, common variables, the first holds."""
-    from anemora.queries.views import obs
-
     x = obs(spark, d, "temp_c", "wind_ms", "rh_pct")
     mean = lambda df, *c: df.groupBy("station", F.col("hour").alias("t")).agg(*[F.round(F.avg(F.col(k).cast("double")), 6).alias(k) for k in c])
     a = mean(x.filter(F.month("t") <= 7), "temp_c", "wind_ms", "rh_pct")
@@ -212,3 +209,64 @@ def thr_summary(spark, d):
     each = lowres.own_anomalies(rolled).groupBy("station").agg(F.percentile("anom", F.lit(0.05)).alias("threshold"), F.min(F.when(F.col("v").isNotNull(), F.year("t"))).alias("a"), F.max(F.when(F.col("v").isNotNull(), F.year("t"))).alias("b"))
     r = lambda c, n: F.round(c, 6).alias(n)
     return each.agg(F.count(F.lit(1)).alias("stations"), r(F.min("threshold"), "low"), r(F.median("threshold"), "middle"), r(F.max("threshold"), "high"), F.min("a").cast("bigint").alias("first_year"), F.max("b").cast("bigint").alias("last_year"))
+
+
+# what is there, what is written
+
+
+@query(sql("obs", body="\nunion all ".join(f"select '{e}' as event, {reason} as reason, {n} as usable from obs" for e, reason, n in (
+    ("freezing_rain", "cast(null as varchar)", "count(case when temp_c is not null and precip_mmh is not null then 1 end)"), ("dust", "'dust_aod'", "cast(0 * count(*) as bigint)"), ("rainstorm", "cast(null as varchar)", "count(precip_mmh)"),
+    ("high_humidity", "cast(null as varchar)", "count(rh_pct)"), ("cold_highwind", "cast(null as varchar)", "count(case when temp_c is not null and wind_ms is not null then 1 end)"), ("icing", "cast(null as varchar)", "count(case when temp_c is not null and rh_pct is not null then 1 end)"))) ))
+def evt_readiness(spark, d):
+    """Of each solar event the column it lacks and the readings it can be told from, in a table without dust."""
+    return events.readiness(obs(spark, d, "temp_c", "precip_mmh", "rh_pct", "wind_ms"), "solar")
+
+
+@query(sql("obs", body="""g as (select station, t, count(*) as n, count(wind_ms) as k from obs group by 1, 2), l as (select *, epoch_us(t) - epoch_us(lag(t) over (partition by station order by t)) as gap from g)
+select station, cast(sum(n) as bigint) as rows, cast(sum(n - 1) as bigint) as doubled, count(case when gap <> 3600000000 then 1 end) as gaps, cast(sum(n - k) as bigint) as missing from l group by 1"""))
+def dq_series(spark, d):
+    """Times that come again, gaps and missing values of every station's wind."""
+    return timeaxis.faults(obs(spark, d, "wind_ms"), "wind_ms")
+
+
+@query(sql("panel", body=RUNNING + """,
+odd as (select * from acc where month(t) % 2 = 1),
+x as (select station, t, acc, case when hour(t) = 1 then acc when lag(t) over w is null or lag(t) over w <> t - interval 1 hour then null else acc - lag(acc) over w end as x from odd window w as (partition by station order by t))
+select station, t, round(case when x is not null then greatest(case when x < 0 then acc else x end, 0) end, 5) as v from x""", value="precip_mmh"))
+def deaccum_missing_month(spark, d):
+    """Totals of every other month only: the first step after a missing month has no predecessor."""
+    some = _accumulated(spark, d).filter(F.month("t") % 2 == 1)
+    return timeaxis.deaccumulate(some, first="nan", step_hours=1.0).select("station", "t", F.round("v", 5).alias("v"))
+
+
+@query(sql("obs", body="select obs_id, station, year(t) as year, cast(coalesce(wind_ms > 18, false) as int) as high_wind, cast(coalesce(temp_c > 35, false) as int) as high_temp from obs"))
+def sink_signals(spark, d):
+    """Wind signals written by year and read back."""
+    at = scratch(spark, "signals")
+    rows = events.with_signals(obs(spark, d, "temp_c", "wind_ms", "rh_pct"), "wind").withColumn("year", F.year("t"))
+    sinks.write_signals(rows.select("obs_id", "station", "year", "signal_high_wind", "signal_high_temp"), at)
+    back = spark.read.parquet(at)
+    return back.select("obs_id", "station", F.col("year").cast("bigint").alias("year"), F.col("signal_high_wind").cast("int").alias("high_wind"), F.col("signal_high_temp").cast("int").alias("high_temp"))
+
+
+@query(sql("obs", "site", body="""s as (select station, t, max(cast(coalesce(precip_mmh > 2, false) as int)) as rainstorm from obs group by 1, 2)
+select s.station, s.t, s.rainstorm, site.s.region as region, round(site.s.lat, 6) as lat from s join site on site.p = substr(s.station, 1, 3)"""))
+def sink_station_tables(spark, d):
+    """Station signals and their stations written as two tables, read back and joined."""
+    at = scratch(spark, "station_signals")
+    known = sites(spark, d, "solar")
+    rows = events.with_signals(obs(spark, d, "precip_mmh"), "solar").groupBy("station", "t").agg(F.max("signal_rainstorm").alias("signal_rainstorm"))
+    sinks.write_station_signals(rows.join(known.select("station"), "station", "left_semi"), known, at)
+    back = spark.read.parquet(f"{at}/signals").join(spark.read.parquet(f"{at}/stations"), "station")
+    return back.select("station", "t", F.col("signal_rainstorm").cast("int").alias("rainstorm"), "region", F.round("lat", 6).alias("lat"))
+
+
+@query(sql("panel", body=",\n".join(PLAIN[:4]) + "\nselect p.station, round(cast(cast(p.threshold as float) as double), 4) as threshold, cast(valid_count as int) as valid_count, count(c.clim) as cells from p left join c on c.station = p.station group by all"))
+def sink_thresholds(spark, d):
+    """Climatology and thresholds written with their schema, read back and joined."""
+    at = scratch(spark, "thresholds")
+    clim, thr = pipelines.precompute_thresholds(panel(spark, d))
+    sinks.write_thresholds(clim, thr, at)
+    cells = spark.read.parquet(f"{at}/clim").groupBy("station").agg(F.count("clim").alias("cells"))
+    out = spark.read.parquet(f"{at}/thr").join(cells, "station", "left")
+    return out.select("station", F.round(F.col("threshold").cast("double"), 4).alias("threshold"), "valid_count", F.coalesce("cells", F.lit(0)).alias("cells"))
