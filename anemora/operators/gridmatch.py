@@ -42,7 +42,7 @@ def _axis_bins(values: DataFrame, name: str, bracket: bool, circular: bool) -> D
     """
     own = values.groupBy("region", F.round("g", 9).alias("r")).agg(F.min(F.struct("i", "g")).alias("m")).select("region", "m.g", "m.i")
     if circular:
-        own = own.withColumn("g", F.explode(F.array(*[F.col("g") + d for d in (-360.0, 0.0, 360.0)])))
+        own = own.withColumn("g", F.pmod(F.col("g") + 180.0, F.lit(360.0)) - 180.0).withColumn("g", F.explode(F.array(*[F.col("g") + d for d in (-360.0, 0.0, 360.0)])))
     order, whole = Window.partitionBy("region").orderBy("g"), Window.partitionBy("region")
     own = own.withColumns({"pg": F.lag("g").over(order), "ng": F.lead("g").over(order), "ni": F.lead("i").over(order), "a": F.min("g").over(whole), "b": F.max("g").over(whole), "n": F.count(F.lit(1)).over(whole)})
     step = F.when(F.col("n") > 1, (F.col("b") - F.col("a")) / (F.col("n") - 1)).otherwise(1.0)
@@ -244,11 +244,12 @@ def lookup_sparse(stations: DataFrame, thresholds: DataFrame, key: str = "statio
 
 
 def grid_differences(a: DataFrame, b: DataFrame, tolerance: float = 1e-6) -> DataFrame:
-    """(region, idx0, idx1) whose coordinates differ by more than tolerance, or that only one of two grids has."""
-    left = a.groupBy("region", "idx0", "idx1").agg(F.min("lat").alias("la"), F.min("lon").alias("loa"))
-    right = b.groupBy("region", "idx0", "idx1").agg(F.min("lat").alias("lb"), F.min("lon").alias("lob"))
-    same = (F.abs(F.col("la") - F.col("lb")) <= tolerance) & (F.abs(F.col("loa") - F.col("lob")) <= tolerance)
-    return left.join(right, ["region", "idx0", "idx1"], "full_outer").filter(~F.coalesce(same, F.lit(False))).select("region", "idx0", "idx1")
+    """(region, idx0, idx1) whose coordinates differ by more than tolerance, or that only one of two grids has. One aggregate over both, no join."""
+    both = a.select("region", "idx0", "idx1", "lat", "lon", F.lit(0).alias("side")).unionByName(b.select("region", "idx0", "idx1", "lat", "lon", F.lit(1).alias("side")))
+    least = lambda c, side: F.min(F.when(F.col("side") == side, F.col(c)))
+    gap = lambda c: F.abs(least(c, 0) - least(c, 1))
+    cells = both.groupBy("region", "idx0", "idx1").agg(F.greatest(gap("lat"), gap("lon")).alias("far"), (gap("lat").isNotNull() & gap("lon").isNotNull()).alias("known"))
+    return cells.filter(~F.col("known") | (F.col("far") > tolerance)).select("region", "idx0", "idx1")
 
 
 def axis_intersection(a: DataFrame, b: DataFrame, index: str, coord: str, tolerance: float = 1e-6) -> DataFrame:

@@ -179,3 +179,19 @@ def test_weather_written_and_read(spark, tmp_path):
     sinks.write_weather(x, at, ["station"])
     r = readers.station_weather(spark, at).first()
     assert (r["temp_c"], r["rsds"], r["wind_ms"]) == (20.5, 0.0, None)
+
+
+def test_places_off_the_grid(spark):
+    """Beyond a grid's west border the circle is closed from its east border; grids may count longitudes to 360."""
+    cells = spark.createDataFrame([("r", "regular_latlon", i, j, 10.0 + i, 300.0 + j * 0.5) for i in range(3) for j in range(20)], "region string, grid_kind string, idx0 int, idx1 int, lat double, lon double")
+    rows = [(1, "r", 10.6, -63.0), (2, "r", 9.0, 311.0), (3, "r", 13.0, -55.26), (4, "r", 11.25, 119.0), (5, "r", 11.25, 125.0)]
+    places = spark.createDataFrame(rows, "station int, region string, lat double, lon double")
+    got = {(r["station"], r["corner"]): (r["idx0"], r["idx1"], round(r["weight"], 6)) for r in gridmatch.bilinear(places, cells).collect()}
+    west = round((-63.0 + 360 - 309.5 + 360) % 360 / (360 - 9.5), 6)
+    assert (got[1, 0][:2], got[1, 1][:2]) == ((0, 19), (0, 0)) and got[1, 1][2] == round(0.4 * west, 6)
+    assert got[2, 0][:2] == (0, 19) and got[2, 2][2] == 0 and got[3, 0][:2] == got[3, 2][:2] == (2, 9)
+    near = {r["station"]: (r["idx0"], r["idx1"]) for r in gridmatch.nearest_regular(places, cells).collect()}
+    assert near == {1: (1, 0), 2: (0, 19), 3: (2, 9), 4: near[4], 5: near[5]}
+    for k, lon in ((4, 119.0), (5, 125.0)):
+        gap = lambda j, lon=lon: abs((300 + j * 0.5 - lon + 180) % 360 - 180)
+        assert near[k][1] == min(range(20), key=lambda j: (round(gap(j), 9), j))
