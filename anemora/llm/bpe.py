@@ -12,10 +12,12 @@ each batch's distinct cuts are encoded once and kept. A null or an empty text gi
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +133,8 @@ class PrefixEncoder:
 
 @lru_cache(1)
 def encoder(path: str) -> PrefixEncoder:
-    return PrefixEncoder(path)
+    """The encoder of a vocabulary file, from the file that came with the job where the node has none at that path."""
+    return PrefixEncoder(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
 
 
 def marked(texts):
@@ -185,10 +188,11 @@ def encode_batches(path: str, rows: int = 2500):
 def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizers: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
     """(id, ids): every text as the ids of a byte-level BPE vocabulary, without special tokens.
 
-    One row per input row. Special tokens' strings within a text are ordinary text. Extra columns are not kept.
+    One row per input row. The vocabulary file goes to the tasks with the job. Special tokens' strings within a text are ordinary text. Extra columns are not kept.
     """
     shipped(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs.sparkSession.sparkContext.addFile(f"{tokenizers}/{name}.json")
     out = rows.mapInArrow(encode_batches(f"{tokenizers}/{name}.json"), f"id {kind}, ids array<int>")
     return out.withColumnRenamed("id", id_col)
