@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from anemora.functions import unit_text as U
 from anemora.operators import compaction, region_match, spikes, unit_model
 from anemora.session import scratch, table
 
@@ -102,6 +103,40 @@ select file_id, cast(line_no as int) as line_no from h where station is not null
 qualify row_number() over (partition by cache, station, hour order by written_at desc nulls last, file_id desc, line_no desc) = 1
 """
 
+def _literal(x) -> str:
+    return "'" + str(x).replace("'", "''") + "'"
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(_literal(x) if isinstance(x, str) else repr(float(x)) + "::double" for x in r) + ")" for r in rows)
+
+
+#: Rows with a stated unit, read by the same tables of spellings; what the classifier decides (no row of the given tables) is not in it.
+P3_SQL = f"""
+with w as (
+  select row_id, arg_max({{'source': source, 'v': var_name, 'h': step_hours, 'u': units, 'n': note, 'x': reading, 't': reading_text}}, received_at) as m from weather_bundle where var_name in ('tas', 'pr') and row_id is not null group by 1),
+a as (select source, var_name, max(units) as units from weather_attrs group by 1, 2),
+r as (select row_id, m.v as var, m.h as step, m.u as units, m.x as reading, translate(m.t, chr(160) || '−', ' -') as t, split_part(translate(m.n, chr(160), ' '), ';', 1) as note, a.units as attrs from w left join a on a.source = m.source and a.var_name = m.v),
+v as (select *, coalesce(trim(t), '') <> '' as filled, case when coalesce(trim(t), '') <> '' then try_cast(nullif(regexp_extract(replace(trim(t), ',', '.'), '^([+-]?[0-9]+(?:[.][0-9]+)?(?:[eE][+-]?[0-9]+)?)', 1), '') as double) when not isnan(reading) then reading end as value from r),
+texts as (
+  select row_id, var, 1 as k, regexp_extract(t, '^[[:space:]]*[+-]?[0-9]+(?:[.,][0-9]+)?(?:[eE][+-]?[0-9]+)?[[:space:]]*(.*?)[[:space:]]*$', 1) as text, true as strict from v where filled
+  union all select row_id, var, 2, units, true from v union all select row_id, var, 3, regexp_extract(note, {_literal("(?i)(" + "|".join(U._PHRASES) + ")")}, 1), false from v union all select row_id, var, 4, attrs, false from v),
+n0 as (select *, replace(replace(lower(translate(text, '⁻⁰¹²³−·×' || chr(160) || '_,', '-0123- x   ')), '**', ''), '^-', '-') as b from texts where text is not null),
+n as (select *, trim(regexp_replace(regexp_replace(regexp_replace(b, '^[[:space:]]*in[[:space:]]+([0-9]|1/|kelvin|degree|celsius|fahrenheit|hundredth|tenth|mm\\b|milli|centi|metre)', '\\1'), '[][()]', ' ', 'g'), '[[:space:]]+', ' ', 'g')) as b2 from n0),
+p as (select row_id, var, k, text, strict,
+  case when regexp_matches(b2, '^(tenth|hundredth|thousandth)s? of(?: an?)? .+$') then {{'bare': regexp_extract(b2, '^(?:tenth|hundredth|thousandth)s? of(?: an?)? (.+)$', 1), 'f': case regexp_extract(b2, '^(tenth|hundredth|thousandth)', 1) when 'tenth' then 0.1::double when 'hundredth' then 0.01::double else 0.001::double end}}
+  when regexp_matches(b2, '^(?:x )?([0-9]+(?:[.][0-9]+)?)(?:/([0-9]+))? (?:x )?([^0-9].*)$') then {{'bare': regexp_extract(b2, '^(?:x )?[0-9]+(?:[.][0-9]+)?(?:/[0-9]+)? (?:x )?([^0-9].*)$', 1),
+    'f': try_cast(regexp_extract(b2, '^(?:x )?([0-9]+(?:[.][0-9]+)?)', 1) as double) / coalesce(try_cast(nullif(regexp_extract(b2, '^(?:x )?[0-9]+(?:[.][0-9]+)?/([0-9]+)', 1), '') as double), 1)}}
+  when regexp_matches(b2, '^(k|c|f|°[cf]|℃|deg ?[kcf]|kelvin|celsius|fahrenheit) ?/ ?[0-9]+$') then {{'bare': regexp_extract(b2, '^(k|c|f|°[cf]|℃|deg ?[kcf]|kelvin|celsius|fahrenheit)', 1), 'f': 1.0::double / try_cast(regexp_extract(b2, '([0-9]+)$', 1) as double)}}
+  when b2 in ('dk', 'ck', 'mk') then {{'bare': 'k', 'f': case b2 when 'dk' then 0.1::double when 'ck' then 0.01::double else 0.001::double end}} else {{'bare': b2, 'f': 1.0::double}} end as p from n),
+spelled(var, bare, code) as (values {_values([(v, x, code) for v, t in (("tas", U.TEMPERATURE), ("pr", U.PRECIPITATION)) for code, xs in t.items() for x in xs])}),
+u as (select p.row_id, p.k, p.strict, p.text, s.code, p.p.f as factor from p left join spelled s on s.var = p.var and s.bare = p.p.bare and p.p.f > 0 and p.text <> ''),
+o as (select row_id, min({{'k': k, 'code': code, 'factor': factor}}) as m from u where code is not null or (strict and trim(lower(text)) not in ({", ".join(map(_literal, U.NO_UNIT))})) group by 1),
+size(code, a, b) as (values {_values([(c, *x) for c, x in U.TO_KELVIN.items()] + [(c, x, 0.0) for c, x in {**U.RATE_MMH, **U.AMOUNT_MM}.items()])}),
+c as (select v.row_id, o.m.code as code, o.m.factor as factor, case when o.m.code in ('mm', 'cm', 'm', 'in') then v.value * o.m.factor * s.a / (case when v.step > 0 then v.step end) else v.value * o.m.factor * s.a + s.b end as y from v join o on o.row_id = v.row_id join size s on s.code = o.m.code)
+select row_id, cast(round(y * 1000) as bigint) as value_milli from c where y is not null and not (factor = 1 and code in ('K', 'mm/h'))
+"""
+
 P5_PARTS = """
 with h as (
   select obs_id, station_id, t, arg_max({'i': irradiance_wm2, 'p': precip_mmh}, received_at) as v from weather_hourly group by obs_id, station_id, t),
@@ -120,4 +155,4 @@ f as (select obs_id, var_name, 'impossible' as reason from y where case when var
 """
 P5_SQL = P5_PARTS + "select distinct obs_id, var_name from f"
 
-ORACLES = {"p1_found": P1_SQL, "p1_distances": P1_DISTANCES, "p2_found": P2_SQL, "p2_compacted_files": "select file_id, path, n_bytes from station_cf_cache", "p5_found": P5_SQL, "p5_reasons": P5_PARTS + "select obs_id, var_name, reason from f"}
+ORACLES = {"p1_found": P1_SQL, "p1_distances": P1_DISTANCES, "p2_found": P2_SQL, "p3_found": P3_SQL, "p2_compacted_files": "select file_id, path, n_bytes from station_cf_cache", "p5_found": P5_SQL, "p5_reasons": P5_PARTS + "select obs_id, var_name, reason from f"}
