@@ -38,6 +38,8 @@ SKETCH_BITS = 24
 #: Windows of items that are broadcast, at most (some 30 bytes each); more are joined by shuffle, each under SALTS keys, so that a stock phrase is several tasks' work.
 BROADCAST_WINDOWS = 1_000_000
 SALTS = 8
+#: Parts of the documents' windows for each shuffle partition of the session.
+PARTS = 4
 #: Kinds of words, and what stands for a number, a unit or a name in a template.
 NUMBER, UNIT, NAME = 1, 2, 3
 PLACEHOLDER = (0, 101, 102, 103)
@@ -76,7 +78,7 @@ def plain_words(texts):
     return pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.replace_substring_regex(t, r"[^\pL\pN\pM]+", " ")))
 
 
-@lru_cache(200_000)
+@lru_cache(100_000)
 def folded(word: str) -> str:
     """A word in small letters without accents and compatibility forms."""
     flat = unicodedata.normalize("NFKD", word.casefold())
@@ -446,8 +448,10 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col:
     coded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(hit_batches(table, easiest["least"] or 1, span(easiest["n"] or 0)), f"id {kind}, {lists}")
     coded = written(coded, "coded")
     having = windows.groupBy("h").agg(F.collect_list(F.struct("item_id", "n", "ipos")).alias("items"))
-    # one row a document is moved, with its windows; what an item has in common with it is then counted where the document is
-    hits = coded.select("id", "pos", "h").repartition("id").select("id", F.inline(F.arrays_zip(F.col("pos").alias("dpos"), "h")))
+    # one row a document is moved, with its windows; what an item has in common with it is then counted where the document is;
+    # parts are small, as a document's windows with all items that have them take up many times what is moved
+    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hits = coded.select("id", "pos", "h").repartition(parts, "id").select("id", F.inline(F.arrays_zip(F.col("pos").alias("dpos"), "h")))
     count = windows.count()
     if count <= broadcast_windows:
         both = hits.join(F.broadcast(having), "h")
