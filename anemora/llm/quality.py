@@ -3,7 +3,7 @@
 Texts come as Arrow batches; lines and words are taken apart once, each different line and word is classed once, and all
 statistics of a batch's documents are sums over those classes. Rows are never moved. A document fails by the published
 rules below, or where words that are common in prose, list entries, table rows and macro definitions aside, are less
-than half as frequent as in documents that pass the published rules: then it consists mainly of something else. Every
+than half as frequent, for the text's characters, as in documents that pass the published rules: then it consists mainly of something else. Every
 failure is recorded as a reason.
 
 A null, empty or blank text has statistics of 0 or null and fails no rule. Repeated documents count for themselves. Extra
@@ -50,7 +50,7 @@ MARKUP = (
 )
 STATISTICS = (
     "n_chars bigint, n_words bigint, n_lines bigint, mean_word_length double, symbol_ratio double, alpha_words double, bullet_lines double, ellipsis_lines double, table_lines double, "
-    "list_lines double, punctuated_lines double, duplicate_lines double, top_2gram double, top_3gram double, top_4gram double, stop_words double, common_share double"
+    "list_lines double, punctuated_lines double, duplicate_lines double, top_2gram double, top_3gram double, top_4gram double, stop_words double, common_share double, prose_common double"
 )
 
 
@@ -98,10 +98,11 @@ class Parts:
         self.has = lambda pattern, x=self.lines: flags(pc.match_substring_regex(x, pattern))
         text = bare(self.lines)
         new_doc = np.diff(self.doc, prepend=-1) != 0
-        # a line goes on in the next one if that begins with a small letter
+        # a line goes on in the next one if that begins with a small letter; an end of the text without a mark may be where it was cut off
         goes_on = np.append((self.has(r"^\p{Ll}", text) & ~first & ~new_doc)[1:], False) if len(self.doc) else new_doc
-        self.ends = ~goes_on & (flags(pc.utf8_length(text)) > 0)
-        self.punctuated = self.ends & self.has(r"[.!?\"”»][\])}]*$", text)
+        marked, last = self.has(r"[.!?\"”»][\])}]*$", text), np.append(new_doc[1:], [True] * min(1, len(self.doc))).astype(bool)
+        self.ends = ~goes_on & ~(last & ~marked) & (flags(pc.utf8_length(text)) > 0)
+        self.punctuated = self.ends & marked
         opens = self.has(OPENS)
         depth = np.cumsum(opens.astype(np.int64) - self.has(CLOSES))
         start = np.flatnonzero(new_doc)
@@ -146,7 +147,7 @@ def measured_batches(common: frozenset[str], rows: int = 1000):
                     ratio(chars, n), ratio(per(x.wdoc, of_kind(r"#|\.\.\.|…")), n), ratio(per(x.wdoc, of_kind(r"\pL") > 0), n),
                     ratio(per(x.doc, x.has(BULLET)), n_lines), ratio(per(x.doc, x.has(ELLIPSIS)), n_lines), ratio(per(x.doc, x.table), n_lines), ratio(per(x.doc, x.listed), n_lines),
                     ratio(per(x.doc, x.punctuated), per(x.doc, x.ends)), ratio(n_lines - per(unlike), n_lines), *[ratio(_top_gram(x, k, docs), chars) for k in (2, 3, 4)],
-                    pa.array(per(different).astype(float)), ratio(per(x.wdoc, hit & x.prose), n),
+                    pa.array(per(different).astype(float)), ratio(per(x.wdoc, hit), n), ratio(per(x.wdoc, hit & x.prose), chars),
                 ],
                 names=["id"] + [c.split()[0] for c in STATISTICS.split(", ")],
             )
@@ -155,7 +156,7 @@ def measured_batches(common: frozenset[str], rows: int = 1000):
 
 
 def word_batches(rows: int = 1000):
-    """A function over Arrow batches (id, text) that gives (id, word, in_prose): every document's different words and how often each stands in its prose."""
+    """A function over Arrow batches (id, text) that gives (id, word, n, in_prose): every document's different words, how often each comes and how often in its prose."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -167,9 +168,9 @@ def word_batches(rows: int = 1000):
             known = x.core.dictionary_encode()
             wide = len(known.dictionary) + 1
             pair, at = np.unique(x.wdoc * np.int64(wide) + known.indices.to_numpy(zero_copy_only=False).astype(np.int64)[x.codes], return_inverse=True)
-            n = np.bincount(at, weights=x.prose, minlength=len(pair)).astype(np.int64)
+            n, prose = np.bincount(at, minlength=len(pair)), np.bincount(at, weights=x.prose, minlength=len(pair)).astype(np.int64)
             words = known.dictionary.cast(pa.string()).take(pa.array(pair % wide))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pair // wide)), words, pa.array(n)], names=["id", "word", "in_prose"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pair // wide)), words, pa.array(n.astype(np.int64)), pa.array(prose)], names=["id", "word", "n", "in_prose"])
 
     return run
 
@@ -187,11 +188,12 @@ def statistics(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
     first = [r["word"] for r in listed.limit(task_words + 1).collect()]
     if len(first) <= task_words:
         return texts.mapInArrow(measured_batches(frozenset(first)), f"id {kind}, {STATISTICS}").withColumnRenamed("id", id_col)
-    rest = texts.mapInArrow(measured_batches(frozenset()), f"id {kind}, {STATISTICS}").drop("stop_words", "common_share")
-    hits = texts.mapInArrow(word_batches(), f"id {kind}, word string, in_prose bigint").join(listed, "word").groupBy("id").agg(F.count(F.lit(1)).alias("hits"), F.sum("in_prose").alias("in_prose"))
-    share = F.when(F.col("n_words") > 0, F.coalesce("in_prose", F.lit(0)) / F.col("n_words"))
-    both = rest.join(hits, "id", "left").withColumns({"stop_words": F.coalesce("hits", F.lit(0)).cast("double"), "common_share": share})
-    return both.drop("hits", "in_prose").withColumnRenamed("id", id_col)
+    rest = texts.mapInArrow(measured_batches(frozenset()), f"id {kind}, {STATISTICS}").drop("stop_words", "common_share", "prose_common")
+    hits = texts.mapInArrow(word_batches(), f"id {kind}, word string, n bigint, in_prose bigint").join(listed, "word").groupBy("id").agg(F.count(F.lit(1)).alias("hits"), F.sum("n").alias("n"), F.sum("in_prose").alias("in_prose"))
+    share = lambda c, whole: F.when(F.col("n_words") > 0, F.coalesce(c, F.lit(0)) / whole)
+    chars = F.round(F.col("mean_word_length") * F.col("n_words"))
+    both = rest.join(hits, "id", "left").withColumns({"stop_words": F.coalesce("hits", F.lit(0)).cast("double"), "common_share": share("n", F.col("n_words")), "prose_common": share("in_prose", chars)})
+    return both.drop("hits", "n", "in_prose").withColumnRenamed("id", id_col)
 
 
 def _failures() -> dict:
@@ -206,7 +208,7 @@ def _failures() -> dict:
 def judged(docs: DataFrame, words: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The statistics with prose_share, outside_length and reasons (names of the failed rules, in order).
 
-    prose_share is the share of common words in prose, as a part of the median share of the documents that pass all published rules;
+    prose_share is the number of common words in prose for each character, as a part of the median of the documents that pass all published rules;
     the median is that of all these documents, within a ten-thousandth of their ranks.
     """
     stats = written(statistics(docs, words, id_col), "quality")
@@ -216,8 +218,8 @@ def judged(docs: DataFrame, words: DataFrame, id_col: str = "doc_id") -> DataFra
     listed = words.filter(F.col("word") != "").limit(1).count() > 0
     if not listed:
         stats = stats.withColumn("reasons", F.array_remove("reasons", "stop_words"))
-    level = stats.filter(some & (F.size("reasons") == 0)).agg(F.percentile_approx("common_share", F.lit(0.5), F.lit(10_000)).alias("level")).first()["level"]
-    share = F.try_divide(F.col("common_share"), F.lit(level).cast("double")) if listed else F.lit(None).cast("double")
+    level = stats.filter(some & (F.size("reasons") == 0)).agg(F.percentile_approx("prose_common", F.lit(0.5), F.lit(10_000)).alias("level")).first()["level"]
+    share = F.try_divide(F.col("prose_common"), F.lit(level).cast("double")) if listed else F.lit(None).cast("double")
     stats = stats.withColumns({"prose_share": share, "outside_length": some & ~F.col("n_words").between(*LENGTH)})
     return stats.withColumn("reasons", F.concat("reasons", F.array_compact(F.array(F.when(F.col("prose_share") < MAINLY, F.lit("prose_share"))))))
 

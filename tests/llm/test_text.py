@@ -203,4 +203,4 @@ def test_quality_with_a_list_too_long_for_the_tasks(spark):
     listed = spark.createDataFrame([("en", w) for w in "the of and in is that it for a".split()] + [("en", f"word{n}") for n in range(6000)], "lang string, word string")
     texts = ["".join(PROSE), "word5 word6 The word5\n\\item the thing", None, "&&&", "Nothing here."]
     inside, joined = ({r["doc_id"]: r.asDict() for r in quality.statistics(docs(spark, texts), listed, task_words=n).collect()} for n in (10_000, 100))
-    assert inside == joined and inside[1]["stop_words"] == 3 and inside[1]["common_share"] == pytest.approx(4 / 6)
+    assert inside == joined and inside[1]["stop_words"] == 3 and inside[1]["common_share"] == pytest.approx(5 / 6) and inside[1]["prose_common"] == pytest.approx(4 / 26)
