@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from anemora.functions import weather as W
 from anemora.operators import timeaxis
+from anemora.session import written
 
 CANONICAL = ("temp_c", "wind_ms", "precip_mmh", "rsds", "rh_pct")
 
@@ -81,11 +82,11 @@ def assemble(
     base = of.pop(axis or layout.axis[tech])
     out = base
     for v, part in of.items():
-        if v == "pr":
-            if exact == "error":
-                part = base.select("station", "t", F.lit(1).alias("on")).join(part.withColumn("off", F.lit(1)), ["station", "t"], "full_outer")
-                fault = F.col("on").isNull() | F.col("off").isNull()
-                part = part.select("station", "t", F.when(fault, F.raise_error(F.lit("precipitation does not stand on the time axis")).cast("double")).otherwise(F.col("pr")).alias("pr"))
+        if v == "pr" and exact == "error":
+            both = out.withColumn("_on", F.lit(1)).join(part.withColumn("_there", F.lit(1)), ["station", "t"], "full_outer")
+            fault = F.raise_error(F.lit("precipitation does not stand on the time axis")).cast("double")
+            out = both.withColumn("pr", F.when(F.col("_on").isNull() | F.col("_there").isNull(), fault).otherwise(F.col("pr"))).drop("_on", "_there")
+        elif v == "pr":
             out = out.join(part, ["station", "t"], "left")
         else:
             out = out.join(timeaxis.interpolate(part, base, v), ["station", "t"], "left")
@@ -103,8 +104,8 @@ def assemble(
 def common_cells(grids: dict[str, DataFrame], tolerance: float = 1e-6) -> DataFrame:
     """(region, index of every grid) of the cells that all grids share, by coordinates within tolerance in both axes.
 
-    grids: name -> (region, idx0, idx1, lat, lon). A cell that matches several of another grid raises an error when it is
-    read, a region without a common cell one when the plan is run. Variables are cropped by joining on their grid's index columns.
+    grids: name -> (region, idx0, idx1, lat, lon). A cell that matches several of another grid, and a region without a common
+    cell, raise ValueError. Variables are cropped by joining on their grid's index columns.
     """
     (first, base), *others = grids.items()
     q = lambda c: F.round(F.col(c) * 1e5).cast("bigint")
@@ -115,8 +116,10 @@ def common_cells(grids: dict[str, DataFrame], tolerance: float = 1e-6) -> DataFr
         other = grid.select("region", F.col("idx0").alias("i"), F.col("idx1").alias("j"), F.col("lat").alias("la"), F.col("lon").alias("lo"), q("lat").alias("y"), q("lon").alias("x")).distinct()
         both = out.withColumn("y", near("lat")).withColumn("x", near("lon")).join(other, ["region", "y", "x"]).filter((F.abs(F.col("la") - F.col("lat")) <= tolerance) & (F.abs(F.col("lo") - F.col("lon")) <= tolerance))
         hits = both.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n"), F.min("i").alias(f"{name}_idx0"), F.min("j").alias(f"{name}_idx1"))
-        once = F.when(F.col("n") == 1, F.col(f"{name}_idx0")).otherwise(F.raise_error(F.lit("a cell matches several of another grid")).cast("int"))
-        out = hits.withColumn(f"{name}_idx0", once).drop("n")
-    left = asked.join(out.select("region").distinct().withColumn("some", F.lit(1)), "region", "left")
-    sound = left.select("region", F.coalesce("some", F.raise_error(F.lit("the grids of a region share no cell")).cast("int")).alias("some"))
-    return out.join(sound, "region").filter("some = 1").drop("some", "lat", "lon")
+        out = written(hits, "common")
+        if double := out.filter("n > 1").first():
+            raise ValueError(f"a cell of {first} matches several of {name} in {double['region']}")
+        out = out.drop("n")
+    if lack := asked.join(out.select("region").distinct(), "region", "left_anti").first():
+        raise ValueError(f"the grids of {lack['region']} share no cell")
+    return out.drop("lat", "lon")
